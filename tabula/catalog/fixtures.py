@@ -132,7 +132,7 @@ SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
   CAST(1 + l_partkey % 20 AS INT) AS Position,
   CAST(l_linenumber - 4 AS INT) AS Position_Change,
   l_quantity AS TyreLife,
-  l_extendedprice / 400 AS LapTime,
+  l_extendedprice / 397 AS LapTime,
   l_quantity * l_tax - 1 AS Cumulative_Degradation,
   l_discount * 10 AS RaceProgress,
   CASE WHEN l_linestatus = 'F' AND l_quantity > 25 THEN 1 WHEN l_discount > 0.09 THEN 1 ELSE 0 END AS PitNextLap
