@@ -164,7 +164,52 @@ def oracle_cte(name: str) -> str:
 
 
 # Cleaned tables in the checking engine's own dialect, on top of the raw ones.
-CLEANED: dict[str, str] = {}
+def _known(column: str) -> str:
+    return f"CASE WHEN trim({column}) NOT IN ('Unknown', 'unknown', 'UNKNOWN', '') THEN trim({column}) END"
+
+
+def _items(column: str) -> str:
+    return (f"[trim(x) for x in string_split(coalesce({column}, ''), ',') "
+            "if trim(x) NOT IN ('Unknown', 'unknown', 'UNKNOWN', '')]")
+
+
+def _numbers(*columns: str) -> str:
+    return ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in columns)
+
+
+def _yes_no(column: str) -> str:
+    return f"CASE {column} WHEN 'Yes' THEN true WHEN 'No' THEN false END AS {column}"
+
+
+CLEANED: dict[str, str] = {
+    "pulses": f"""
+SELECT seq, Pulse_ID, Title, try_strptime(Created, '%Y-%m-%d %H:%M:%S') AS Created,
+  {_numbers("Indicators_Count", "Subscribers")}, {_items("Tags")} AS Tags_Clean,
+  {_items("Attack_IDs")} AS Attack_IDs_Clean, {_items("Industries")} AS Industries_Clean,
+  {_items("Countries")} AS Countries_Clean, {_items("Malware_Families")} AS Malware_Families_Clean,
+  {_known("TLP")} AS TLP
+FROM pulses_raw QUALIFY row_number() OVER (PARTITION BY Pulse_ID ORDER BY seq) = 1""",
+    "vulnerabilities": f"""
+SELECT seq, cveID, vendorProject, {_known("product")} AS product, vulnerabilityName, shortDescription,
+  try_strptime(dateAdded, '%Y-%m-%d') AS dateAdded, try_strptime(dueDate, '%Y-%m-%d %H:%M:%S') AS dueDate,
+  CASE WHEN knownRansomwareCampaignUse = 'Known' THEN true END AS knownRansomwareCampaignUse,
+  [x for x in string_split(trim(cwes, '"'), ', ') if x <> ''] AS cwes_list,
+  CAST(substr(cveID, 5, 4) AS INTEGER) AS CVE_Year
+FROM vulnerabilities_raw QUALIFY row_number() OVER (PARTITION BY cveID ORDER BY seq, dueDate, vulnerabilityName) = 1""",
+    "domains": f"""
+SELECT DISTINCT seq, Domain, TLD, {_known("Registrar")} AS Registrar,
+  {_numbers("Popularity_Rank", "Domain_Length", "Malicious_Votes", "Suspicious_Votes", "Harmless_Votes",
+            "Undetected_Votes", "Total_Engines", "Reputation")},
+  {_yes_no("Has_Numbers")}, {_yes_no("Has_Hyphen")}, {_known("Threat_Severity")} AS Threat_Severity
+FROM domains_raw""",
+    "ips": f"""
+SELECT seq, IP, TRY_CAST(ASN AS BIGINT) AS ASN, Country, Continent, Owner,
+  {_numbers("Malicious_Votes", "Suspicious_Votes", "Harmless_Votes", "Undetected_Votes", "Total_Reports",
+            "Reputation_Score", "Times_Submitted")},
+  {_yes_no("TOR_Node")}, {_known("Threat_Label")} AS Threat_Label,
+  {_known("Threat_Category")} AS Threat_Category, {_known("Threat_Severity")} AS Threat_Severity
+FROM ips_raw QUALIFY row_number() OVER (PARTITION BY IP ORDER BY seq) = 1""",
+}
 
 
 def with_prelude(sql: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.catalog import fixtures
+from tabula.plans.cleaning import clean_domains, clean_ips, clean_pulses, clean_vulnerabilities
 from tabula.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,19 @@ class Tables:
         text, inputs = fixtures.spark_sql(name)
         return self.spark.sql(text, **{i: read_table(self.spark, self.folder, i) for i in inputs})
 
+    def pulses(self) -> DataFrame:
+        return clean_pulses(self.derived("pulses_raw"), ["seq"])
+
+    def vulnerabilities(self) -> DataFrame:
+        return clean_vulnerabilities(
+            self.derived("vulnerabilities_raw"), ["seq", "dueDate", "vulnerabilityName"])
+
+    def domains(self) -> DataFrame:
+        return clean_domains(self.derived("domains_raw"))
+
+    def ips(self) -> DataFrame:
+        return clean_ips(self.derived("ips_raw"), ["seq"])
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of :class:`Tables` under a name, with the SQL it must agree with."""
