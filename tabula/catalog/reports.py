@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabula.catalog.charts import _WINDOW, _YEARS, _monthly
 from tabula.catalog.registry import Tables, query, r6
+from tabula.operators.sizing import stored
 from tabula.plans import reports
 
 
@@ -73,7 +74,7 @@ FROM (VALUES ('Low'), ('Medium'), ('High')) AS v(s)"""
     _part("monthly pulses", _monthly("pulses", "Created"), "period"),
     _part("monthly vulnerabilities", _monthly("vulnerabilities", "dateAdded"), "period")))
 def report_overview(t: Tables):
-    tables = [reports.stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
+    tables = [stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
     return _rounded(reports.as_long(reports.overview(*tables)))
 
 
@@ -87,7 +88,7 @@ def report_overview(t: Tables):
     _part("burst days", "SELECT strftime(Created, '%Y-%m-%d') AS value, count(*) AS n FROM pulses "
           "WHERE Created IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 5")))
 def report_pulses(t: Tables):
-    return _rounded(reports.as_long(reports.pulse_page(reports.stored(t.pulses(), "pulses"))))
+    return _rounded(reports.as_long(reports.pulse_page(stored(t.pulses(), "pulses"))))
 
 
 @query("report_vulnerabilities", _union(
@@ -104,7 +105,7 @@ def report_pulses(t: Tables):
     _one("overdue", "rows", f"SELECT count(*) FROM {_WINDOW} WHERE days > 14"),
     _one("overdue", "share", f"SELECT count(*) FILTER (days > 14) * 100.0 / count(*) FROM {_WINDOW}")))
 def report_vulnerabilities(t: Tables):
-    table = reports.stored(t.vulnerabilities(), "vulnerabilities")
+    table = stored(t.vulnerabilities(), "vulnerabilities")
     return _rounded(reports.as_long(reports.vulnerability_page(table)))
 
 
@@ -116,7 +117,7 @@ def report_vulnerabilities(t: Tables):
     _part("tlds", _top("TLD", "domains", 10)),
     _part("numbers", _share("Has_Numbers", "domains")), _part("hyphen", _share("Has_Hyphen", "domains"))))
 def report_domains(t: Tables):
-    return _rounded(reports.as_long(reports.domain_page(reports.stored(t.domains(), "domains"))))
+    return _rounded(reports.as_long(reports.domain_page(stored(t.domains(), "domains"))))
 
 
 @query("report_ips", _union(
@@ -129,7 +130,7 @@ def report_domains(t: Tables):
     _part("reputation histogram", _bins("ips", "Reputation_Score", 20)),
     _one("reputation", "median", "SELECT median(Reputation_Score) FROM ips")))
 def report_ips(t: Tables):
-    return _rounded(reports.as_long(reports.ip_page(reports.stored(t.ips(), "ips"))))
+    return _rounded(reports.as_long(reports.ip_page(stored(t.ips(), "ips"))))
 
 
 @query("listing_domains", """
@@ -164,5 +165,5 @@ UNION ALL SELECT 'High/Critical IPs', CAST((SELECT count(*) FROM ips WHERE Threa
 UNION ALL SELECT 'TOR Exit Nodes Detected', CAST((SELECT count(*) FROM ips WHERE TOR_Node) AS VARCHAR)
 """)
 def kpi_matrix(t: Tables):
-    tables = [reports.stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
+    tables = [stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
     return reports.kpi_matrix(*tables)

@@ -53,9 +53,10 @@ def drop_rare(df: DataFrame, column: str, least: int) -> DataFrame:
     return attach(df, classes, column, how="left_semi")
 
 
-def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled",
+                fit_on: DataFrame | None = None) -> DataFrame:
     """Subtract the mean and divide by the population std (1 where the column is constant)."""
-    moments = one_row(df.agg(
+    moments = one_row((df if fit_on is None else fit_on).agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]))
     return df.select("*", *[

@@ -11,9 +11,14 @@ from tabula.functions.numeric import flag
 from tabula.operators.sizing import attach, running_sums
 
 
-def with_group(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Add group aggregates to every row; rows with a NULL key get NULL."""
-    lookup = df.dropna(subset=list(keys)).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+def with_group(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
+               source: DataFrame | None = None) -> DataFrame:
+    """Add group aggregates to every row; rows with a NULL key get NULL.
+
+    ``source`` is the table to aggregate when ``df`` already carries other joins, so that they are
+    not computed again below the aggregate.
+    """
+    lookup = (df if source is None else source).dropna(subset=list(keys)).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     return attach(df, lookup, list(keys))
 
 
@@ -40,13 +45,15 @@ def remaining(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Data
             .withColumn(f"{name}_Ratio", F.try_divide(left, F.col("_top"))).drop("_top"))
 
 
-def percent_rank(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+def percent_rank(df: DataFrame, group: str, value: str, name: str,
+                 source: DataFrame | None = None) -> DataFrame:
     """Average rank inside the group over its non-NULL count, ties sharing their mean rank.
 
     Ranks come from running counts over distinct values, so a group of any size is only ever sorted
     after counting.
     """
-    cells = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    counted_rows = df if source is None else source
+    cells = (counted_rows.where(F.col(group).isNotNull() & F.col(value).isNotNull())
              .groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
     along = running_sums(cells, [group], value, {"_n": "_upto"})
     totals = along.groupBy(group).agg(F.max("_upto").alias("_total"))

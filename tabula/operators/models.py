@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabula.functions.numeric import row_mean
 from tabula.operators import metrics
-from tabula.operators.sizing import attach
+from tabula.operators.sizing import attach, stored
 from tabula.operators.split import stratified_folds
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
@@ -115,12 +115,13 @@ def _scored(model: Model, rows: DataFrame, name: str, id_column: str) -> DataFra
 def fit_and_score(train: DataFrame, test: DataFrame, candidates: Candidates, id_column: str
                   ) -> tuple[DataFrame, dict[str, Model]]:
     """Fit every candidate on the training vectors, which are kept while fitting, and score the test
-    rows: (model, id, label, prediction, scores)."""
+    rows: (model, id, label, prediction, scores), stored because every metric reads it."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = {name: estimator.fit(train) for name, estimator in candidates.items()}
     train.unpersist()
-    return reduce(DataFrame.unionByName, [
-        _scored(model, test, name, id_column) for name, model in fitted.items()]), fitted
+    scored = reduce(DataFrame.unionByName, [
+        _scored(model, test, name, id_column) for name, model in fitted.items()])
+    return stored(scored, "scored"), fitted
 
 
 def model_metrics(scored: DataFrame, classes: int) -> DataFrame:
@@ -153,7 +154,7 @@ def out_of_fold(train: DataFrame, test: DataFrame, make: Callable[[str | None],
     candidate) for the test rows, and the fitted models per fold. With ``early_stop`` the fold after
     the scored one stops the rounds, so the scored fold stays unseen.
     """
-    dealt = stratified_folds(train, id_column, LABEL, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = stored(stratified_folds(train, id_column, LABEL, folds, seed), "folds")
     models, parts = [], []
     for fold in range(folds):
         fit_rows = dealt.where(F.col("fold") != fold)
@@ -171,7 +172,7 @@ def out_of_fold(train: DataFrame, test: DataFrame, make: Callable[[str | None],
         scored = _with_scores(scored, {f"{name}_{fold}": m for name, m in fitted.items()})
     means = scored.select(id_column, *[
         row_mean(*[F.col(f"{name}_{fold}") for fold in range(folds)]).alias(name) for name in names])
-    return oof, means, models
+    return stored(oof, "oof"), stored(means, "test-scores"), models
 
 
 def average_folds(parts: Sequence[DataFrame], id_column: str, score: str) -> DataFrame:

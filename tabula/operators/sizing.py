@@ -39,6 +39,12 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the session's checkpoint folder, for tables written between jobs."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Keep an aggregate for reuse and tell how many rows it has."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -107,12 +113,17 @@ def running_sums(
         *[(F.col(f"_in_{new}") + F.col(f"_off_{new}")).alias(new) for new in sums.values()])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once into the shared folder and read it back, columnar and typed.
+
+    For tables that many jobs read (report pages, folds, fits): the plan above it stays small, and a
+    lost executor costs re-reading a file instead of recomputing the table.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def one_row(df: DataFrame) -> Column:
     """The only row of an ungrouped aggregate as a struct-valued scalar subquery (no join)."""
     return df.select(F.struct(*df.columns)).scalar()
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the session's checkpoint folder, for tables written between jobs."""
-    _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

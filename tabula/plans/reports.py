@@ -1,7 +1,8 @@
 """Report pages over the four cleaned tables.
 
 A page is a set of named sections. ``as_long`` stacks them into (section, item, value). Sections read
-a cleaned table many times, so pages expect it written once (:func:`stored`); every section then scans
+a cleaned table many times, so pages expect it written once
+(:func:`tabula.operators.sizing.stored`); every section then scans
 only its own columns.
 """
 
@@ -15,8 +16,6 @@ from pyspark.sql import functions as F
 
 from tabula.functions.numeric import percent, whole_days
 from tabula.operators import freq, stats, timeline
-from tabula.operators.sizing import shared_folder
-from tabula.sources.delimited import write_table
 
 # Severity order, the mandated patch window in days, the longest window shown.
 SEVERITY = ["Low", "Medium", "High", "Critical"]
@@ -24,13 +23,6 @@ PATCH_DAYS = 14
 WINDOW_DAYS = 60
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a cleaned table once into the shared folder and read it back, columnar and typed."""
-    path = shared_folder(df.sparkSession, name)
-    write_table(df, path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _section(df: DataFrame, item: str | Column, value: str | Column) -> DataFrame:
     item = F.col(item) if isinstance(item, str) else item
     value = F.col(value) if isinstance(value, str) else value
