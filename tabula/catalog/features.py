@@ -9,8 +9,9 @@ from pyspark.sql.types import DoubleType
 from tabula.catalog.registry import Tables, query, r6
 from tabula.functions import numeric as num
 from tabula.functions.cleaning import to_number
-from tabula.functions.text import tokens, with_bigrams
+from tabula.functions.text import tokens
 from tabula.operators import encode, groupwise, models, split, stats, textfeatures
+from tabula.operators.sizing import stored
 from tabula.plans.laps import LAP_TIME, lap_features, split_back, union_with_marker
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -119,7 +120,7 @@ def is_last_in_group(t: Tables):
 
 @query("group_mean_std", f"""
 SELECT {LINE_SQL}, round(avg(l_quantity) OVER w, 6) AS "Order_Avg_Quantity", round(stddev_samp(l_quantity) OVER w, 6) AS "Order_Std_Quantity",
-  round(avg(l_discount) OVER w, 6) AS "Order_Avg_Discount", round(stddev_samp(l_discount) OVER w, 6) AS "Order_Std_Discount"
+  round(avg(l_discount) OVER w, 10) AS "Order_Avg_Discount", round(stddev_samp(l_discount) OVER w, 6) AS "Order_Std_Discount"
 FROM lineitem WINDOW w AS (PARTITION BY l_suppkey, l_returnflag)
 """)
 def group_mean_std(t: Tables):
@@ -127,7 +128,9 @@ def group_mean_std(t: Tables):
         t.lineitem.select(*LINE, "l_returnflag", "l_quantity", "l_discount"), ["l_suppkey", "l_returnflag"],
         {"l_quantity": "Quantity", "l_discount": "Discount"}, "Order")
     names = [f"Order_{s}_{p}" for s in ("Avg", "Std") for p in ("Quantity", "Discount")]
-    return out.select(*LINE, *[r6(n).alias(n) for n in names])
+    # means of two-decimal numbers often end in a 5 at the seventh place, so they keep ten
+    return out.select(*LINE, *[
+        (F.round(n, 10) if n == "Order_Avg_Discount" else r6(n)).alias(n) for n in names])
 
 
 @query("remaining_in_group", f"""
@@ -217,7 +220,8 @@ FROM laps WINDOW c AS (PARTITION BY "Compound"), r AS (PARTITION BY "Race", "Yea
 
 
 def laps_of(t: Tables):
-    return t.derived("laps").withColumnRenamed("LapTime", LAP_TIME)
+    """The lap table, written once as the input file it stands for."""
+    return stored(t.derived("laps").withColumnRenamed("LapTime", LAP_TIME), "laps")
 
 
 @query("lap_features", _LAP_SQL)
@@ -335,16 +339,15 @@ _TERMS = f"""(SELECT doc_id, unnest(list_concat(words, [words[i] || ' ' || words
 
 @query("tokenize", f"SELECT doc_id, CAST(len(words) AS INTEGER) AS n, md5(array_to_string(words, ' ')) AS digest FROM {_WORDS}")
 def tokenize(t: Tables):
-    words = t.documents.select("doc_id", tokens(F.col("text"), STOP_WORDS).alias("words"))
+    words = t.spread("documents").select("doc_id", tokens(F.col("text"), STOP_WORDS).alias("words"))
     return words.select("doc_id", F.size("words").alias("n"),
                         F.md5(F.array_join("words", " ")).alias("digest"))
 
 
 @query("ngrams", f"SELECT doc_id, term, count(*) AS n FROM {_TERMS} GROUP BY ALL")
 def ngrams(t: Tables):
-    words = t.documents.select("doc_id", tokens(F.col("text"), STOP_WORDS).alias("words"))
-    terms = words.select("doc_id", F.explode(with_bigrams(F.col("words"))).alias("term"))
-    return terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = textfeatures.term_counts(t.documents, "doc_id", "text", STOP_WORDS, bigrams=True)
+    return counts.withColumnRenamed("count", "n")
 
 
 _VOCAB = f"""(SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM {_TERMS} GROUP BY 1

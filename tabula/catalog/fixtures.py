@@ -133,7 +133,7 @@ SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
   CAST(l_linenumber - 4 AS INT) AS Position_Change,
   l_quantity AS TyreLife,
   l_extendedprice / 397 AS LapTime,
-  l_quantity * l_tax - 1 AS Cumulative_Degradation,
+  l_quantity * l_tax / 7 - 1 AS Cumulative_Degradation,
   l_discount * 10 AS RaceProgress,
   CASE WHEN l_linestatus = 'F' AND l_quantity > 25 THEN 1 WHEN l_discount > 0.09 THEN 1 ELSE 0 END AS PitNextLap
 FROM {lineitem}
@@ -152,7 +152,8 @@ FROM {lineitem}
 }
 
 def _inputs(name: str) -> list[str]:
-    return sorted(set(re.findall(r"\{(\w+)\}", RAW[name])))
+    """Given tables in order of appearance, the driving table first."""
+    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", RAW[name])))
 
 
 def spark_sql(name: str) -> tuple[str, list[str]]:

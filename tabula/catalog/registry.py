@@ -27,7 +27,11 @@ class Tables:
 
     def derived(self, name: str) -> DataFrame:
         text, inputs = fixtures.spark_sql(name)
-        return self.spark.sql(text, **{i: read_table(self.spark, self.folder, i) for i in inputs})
+        tables = {i: read_table(self.spark, self.folder, i, spread=i == inputs[0]) for i in inputs}
+        return self.spark.sql(text, **tables)
+
+    def spread(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.folder, name, spread=True)
 
     def pulses(self) -> DataFrame:
         return clean_pulses(self.derived("pulses_raw"), ["seq"])

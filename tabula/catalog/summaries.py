@@ -28,7 +28,7 @@ SELECT word AS value, count(*) AS n FROM (
 GROUP BY 1 ORDER BY n DESC, value LIMIT 25
 """)
 def explode_topk(t: Tables):
-    return freq.top_elements(t.documents.select(tokens(F.col("text")).alias("words")), "words", 25)
+    return freq.top_elements(t.spread("documents").select(tokens(F.col("text")).alias("words")), "words", 25)
 
 
 @query("explode_topk_names", """

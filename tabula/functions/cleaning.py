@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -52,8 +53,29 @@ def to_whole(text: Column) -> Column:
     return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
+# Layout parts of fixed width; all other characters stand for themselves.
+_FIXED_PARTS = ["yyyy", "MM", "dd", "HH", "mm", "ss"]
+
+
+def _shape(layout: str) -> str | None:
+    """The layout with a 0 for every digit, or None when its width can vary."""
+    shape = layout
+    for part in _FIXED_PARTS:
+        shape = shape.replace(part, "0" * len(part))
+    shape = shape.replace("'T'", "\N{SECTION SIGN}")
+    return None if re.search("[A-Za-z']", shape) else shape.replace("\N{SECTION SIGN}", "T")
+
+
 def to_timestamp_any(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in formats])
+    """The first layout that fits. A text is only parsed by layouts of its own digit shape, because
+    a failing parse costs far more than comparing shapes."""
+    shape = F.translate(text, "123456789", "000000000")
+    tries = []
+    for layout in formats:
+        parsed = F.try_to_timestamp(text, F.lit(layout))
+        fixed = _shape(layout)
+        tries.append(F.when(shape == fixed, parsed) if fixed else parsed)
+    return F.coalesce(*tries)
 
 
 def map_values(value: Column, mapping: Mapping) -> Column:

@@ -55,9 +55,8 @@ def percent_rank(df: DataFrame, group: str, value: str, name: str,
     counted_rows = df if source is None else source
     cells = (counted_rows.where(F.col(group).isNotNull() & F.col(value).isNotNull())
              .groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
-    along = running_sums(cells, [group], value, {"_n": "_upto"})
-    totals = along.groupBy(group).agg(F.max("_upto").alias("_total"))
-    ranks = attach(along, totals, group).select(
+    along = running_sums(cells, [group], value, {"_n": "_upto"}, totals={"_n": "_total"})
+    ranks = along.select(
         group, value,
         ((F.col("_upto") - (F.col("_n") - 1) / 2) / F.col("_total")).alias(name))
     return attach(df, ranks, [group, value])

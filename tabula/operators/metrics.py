@@ -116,14 +116,12 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, highest first, after the (0, 0) start, whose
     threshold is NULL."""
     along = running_sums(_score_cells(df, label, score, []), [], score,
-                         {"_pos": "_tp", "_neg": "_fp"}, descending=True)
-    totals = along.agg(F.sum("_pos").alias("p"), F.sum("_neg").alias("n"))
-    whole = totals.select(F.struct("p", "n")).scalar()
+                         {"_pos": "_tp", "_neg": "_fp"}, totals={"_pos": "_p", "_neg": "_n"}, descending=True)
     points = along.select(
         F.col(score).cast("double").alias("threshold"),
-        F.try_divide(F.col("_fp").cast("double"), whole["n"]).alias("fpr"),
-        F.try_divide(F.col("_tp").cast("double"), whole["p"]).alias("tpr"))
-    start = totals.select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
+        F.try_divide(F.col("_fp").cast("double"), F.col("_n")).alias("fpr"),
+        F.try_divide(F.col("_tp").cast("double"), F.col("_p")).alias("tpr"))
+    start = along.agg(F.count(F.lit(1))).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
                           F.lit(0.0).alias("tpr"))
     return start.unionByName(points)
 

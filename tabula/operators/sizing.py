@@ -56,7 +56,7 @@ def attach(
     lookup: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join an aggregate back to the rows it came from.
 
@@ -66,7 +66,8 @@ def attach(
     splits.
     """
     lookup, size = counted(lookup)
-    side = F.broadcast(lookup) if size <= broadcast_rows else lookup
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    side = F.broadcast(lookup) if size <= limit else lookup
     return rows.join(side, on, how)
 
 
@@ -75,24 +76,30 @@ def running_sums(
     by: Sequence[str],
     order: str,
     sums: Mapping[str, str],
+    totals: Mapping[str, str] | None = None,
     descending: bool = False,
-    window_rows: int = WINDOW_ROWS,
+    window_rows: int | None = None,
 ) -> DataFrame:
-    """Add inclusive running totals of ``sums`` (column -> new name) along ``order`` inside ``by``.
+    """Add inclusive running sums along ``order`` inside ``by``, and whole sums per ``by``.
 
-    ``cells`` holds one row per distinct (by, order). Few cells: one window. Many cells: range
-    partition them into slices, total each slice inside its own task, and add the totals of the
-    slices before it, of which there are few.
+    ``sums`` and ``totals`` map a column to its new name. ``cells`` holds one row per distinct
+    (by, order). Few cells: one window. Many cells: range partition them into slices, sum each slice
+    inside its own task, and add the sums of the slices before it, of which there are few.
     """
+    totals = dict(totals or {})
+    limit = WINDOW_ROWS if window_rows is None else window_rows
     kept, size = counted(cells)
     along = F.col(order).desc() if descending else F.col(order).asc()
     keys = list(by)
-    if size <= window_rows:
+    if size <= limit:
         window = Window.partitionBy(*keys).orderBy(along).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
-        return kept.select("*", *[F.sum(c).over(window).alias(new) for c, new in sums.items()])
+        whole = Window.partitionBy(*keys)
+        return kept.select(
+            "*", *[F.sum(c).over(window).alias(new) for c, new in sums.items()],
+            *[F.sum(c).over(whole).alias(new) for c, new in totals.items()])
 
-    slices = max(2, math.ceil(2 * size / window_rows))
+    slices = max(2, math.ceil(2 * size / limit))
     ranged = pinned(
         kept.repartitionByRange(slices, *[F.col(k) for k in keys], along)
         .withColumn("_slice", F.spark_partition_id()))
@@ -100,17 +107,21 @@ def running_sums(
     inside = Window.partitionBy("_slice", *keys).orderBy(along).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
     offsets = (
         ranged.groupBy("_slice", *keys)
-        .agg(*[F.sum(c).alias(f"_sum_{new}") for c, new in sums.items()])
+        .agg(*[F.sum(c).alias(f"_sum_{new}") for c, new in sums.items()],
+             *[F.sum(c).alias(f"_all_{new}") for c, new in totals.items()])
         .select("_slice", *keys, *[
             F.coalesce(F.sum(f"_sum_{new}").over(before), F.lit(0)).alias(f"_off_{new}")
-            for new in sums.values()]))
+            for new in sums.values()],
+            *[F.sum(f"_all_{new}").over(whole).alias(new) for new in totals.values()]))
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_in_{new}") for c, new in sums.items()])
     joined = attach(local, offsets, ["_slice", *keys])
     return joined.select(
         *cells.columns,
-        *[(F.col(f"_in_{new}") + F.col(f"_off_{new}")).alias(new) for new in sums.values()])
+        *[(F.col(f"_in_{new}") + F.col(f"_off_{new}")).alias(new) for new in sums.values()],
+        *totals.values())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

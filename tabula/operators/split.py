@@ -21,7 +21,7 @@ def _keyed(df: DataFrame, id_column: str, seed: int, digits: int) -> DataFrame:
 
 def _bucket_counts(keyed: DataFrame, label: str) -> DataFrame:
     cells = keyed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    along = running_sums(cells, [label], "_bucket", {"_n": "_upto"})
+    along = running_sums(cells, [label], "_bucket", {"_n": "_upto"}, totals={"_n": "_rows"})
     return along.withColumn("_before", F.col("_upto") - F.col("_n"))
 
 
@@ -33,9 +33,9 @@ def stratified_split(df: DataFrame, id_column: str, label: str, fraction: float,
     key with the label's last selected key.
     """
     keyed = _keyed(df.where(F.col(label).isNotNull()), id_column, seed, digits)
-    cells = _bucket_counts(keyed, label)
-    quotas = cells.groupBy(label).agg(F.round(F.sum("_n") * fraction).cast("bigint").alias("_quota"))
-    edge_buckets = attach(cells, quotas, label).where(
+    cells = _bucket_counts(keyed, label).withColumn(
+        "_quota", F.round(F.col("_rows") * fraction).cast("bigint"))
+    edge_buckets = cells.where(
         (F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_upto"))
     ).select(label, "_bucket", (F.col("_quota") - F.col("_before")).alias("_need"))
     candidates = attach(keyed.select(label, "_bucket", "_key", id_column), edge_buckets,

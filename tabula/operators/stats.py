@@ -33,18 +33,12 @@ def quantiles(df: DataFrame, value: str, points: Sequence[float], by: Sequence[s
     """
     cells = (df.where(F.col(value).isNotNull())
              .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
-    along = running_sums(cells, by, value, {"_n": "_upto"})
-    totals = along.groupBy(*by).agg(F.max("_upto").alias("_total"))
-    if by:
-        placed = attach(along, totals, list(by))
-        total = F.col("_total")
-    else:
-        placed, total = along, totals.scalar()
+    along = running_sums(cells, by, value, {"_n": "_upto"}, totals={"_n": "_total"})
 
     def spot(point: float) -> Column:
-        return F.lit(float(point)) * (total - 1)
+        return F.lit(float(point)) * (F.col("_total") - 1)
 
-    reached = placed.groupBy(*by).agg(
+    reached = along.groupBy(*by).agg(
         *[F.min(F.when(F.col("_upto") > F.floor(spot(p)), F.col(value))).alias(f"_low{i}")
           for i, p in enumerate(points)],
         *[F.min(F.when(F.col("_upto") > F.ceil(spot(p)), F.col(value))).alias(f"_high{i}")

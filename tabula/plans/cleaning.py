@@ -31,10 +31,13 @@ KNOWN = {"Known": True}
 
 
 def clean_all(df: DataFrame) -> DataFrame:
-    """Trim every text column and turn its unknown tokens into NULL."""
-    return df.select(*[
-        c.null_unknown(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
-        else F.col(f"`{f.name}`") for f in df.schema.fields])
+    """Trim every text column and turn its unknown tokens into NULL.
+
+    Two projections, so that each text is trimmed once although the token test uses it twice.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    trimmed = df.withColumns({n: c.strip(F.col(f"`{n}`")) for n in texts})
+    return trimmed.withColumns({n: c.null_if(F.col(f"`{n}`"), c.UNKNOWN_TOKENS) for n in texts})
 
 
 def _numbers(names: Sequence[str]) -> dict:
