@@ -154,6 +154,8 @@ def out_of_fold(train: DataFrame, test: DataFrame, make: Callable[[str | None],
     candidate) for the test rows, and the fitted models per fold. With ``early_stop`` the fold after
     the scored one stops the rounds, so the scored fold stays unseen.
     """
+    if early_stop and folds < 3:
+        raise ValueError("early stopping needs a third fold to train on")
     dealt = stored(stratified_folds(train, id_column, LABEL, folds, seed), "folds")
     models, parts = [], []
     for fold in range(folds):

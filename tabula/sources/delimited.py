@@ -43,10 +43,10 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multiline:
 
 def overlong_rows(spark: SparkSession, path: str, columns: Sequence[str],
                   multiline: bool = True, header: bool = True) -> DataFrame:
-    """The raw text of the rows :func:`read_csv` leaves out."""
+    """The rows :func:`read_csv` leaves out: first field and raw text."""
     rows = _read(spark, path, columns, multiline, header)
     return rows.where(F.col(_BROKEN).isNotNull() & _overlong(len(columns))).select(
-        F.col(_BROKEN).alias("raw"))
+        F.col(columns[0]), F.col(_BROKEN).alias("raw"))
 
 
 def _overlong(width: int):
