@@ -10,7 +10,6 @@ import math
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,8 +17,6 @@ from pyspark.sql import functions as F
 
 # Rows of an aggregated lookup that are still shipped to every executor.
 BROADCAST_ROWS = 200_000
-# A key is hot with more than one in this many rows, so this also bounds how many keys are hot.
-HOT_KEYS = 10_000
 # Distinct cells that one sorted window task may walk through.
 WINDOW_ROWS = 500_000
 
@@ -61,36 +58,22 @@ def attach(
     how: str = "left",
     broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join a per-key aggregate (``how`` is left, inner or left_semi) back to the rows it came from.
+    """Join a per-key aggregate back to the rows it came from.
 
     Replaces a window over raw rows: the aggregate is built with map-side partial sums, so a group
     holding a third of the table costs one row per task. Small lookups (checked) are broadcast and
-    the rows never move. Beyond that, rows of hot keys still meet a broadcast, of the hot keys' part
-    of the lookup; only rows of ordinary keys are shuffled.
+    the rows never move. A larger lookup is written first: read back it has no partitioning of its
+    own, so both sides are shuffled for the join, which is what lets adaptive execution split the
+    partition of a hot (or missing) key over many tasks. A cached lookup would prevent that.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    lookup, size = counted(lookup)
+    kept, size = counted(lookup)
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if size <= limit:
-        return rows.join(F.broadcast(lookup), keys, how)
-
-    hot, _ = counted(hot_keys(rows, keys))
-    keyed = rows.dropna(subset=keys)
-    hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
-    hot_rows = keyed.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(hot_lookup), keys, how)
-    other_rows = keyed.join(F.broadcast(hot), keys, "left_anti").join(lookup, keys, how)
-    joined = hot_rows.unionByName(other_rows)
-    if how == "left":
-        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        joined = joined.unionByName(rows.where(no_key), allowMissingColumns=True)
-    return joined
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than one in ``HOT_KEYS`` of the rows; there are fewer than ``HOT_KEYS`` of them."""
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    sizes = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.where(F.col("_n") * HOT_KEYS > total).select(*keys)
+        return rows.join(F.broadcast(kept), keys, how)
+    large = stored(kept, "lookup")
+    kept.unpersist()
+    return rows.join(large, keys, how)
 
 
 def running_sums(

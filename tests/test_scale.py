@@ -8,41 +8,42 @@ from tabula.operators import groupwise, sizing
 
 @pytest.fixture
 def no_small_sides(spark, monkeypatch):
-    """Lookups count as large, and Spark itself broadcasts nothing unasked."""
+    """Lookups count as large, Spark broadcasts nothing unasked, and partitions count as skewed early."""
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
-    monkeypatch.setattr(sizing, "HOT_KEYS", 100)
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    for name in names:
-        spark.conf.set(name, "-1")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    for name in names:
-        spark.conf.unset(name)
+    for key in settings:
+        spark.conf.unset(key)
 
 
 def hot_rows(spark):
     """Key 7 has a third of the rows, a missing key a tenth."""
     n = F.col("id")
-    key = F.when(n % 3 == 0, F.lit(7)).when(n % 10 == 1, F.lit(None)).otherwise(n % 900)
-    return spark.range(0, 9_000, numPartitions=12).select("id", key.cast("long").alias("k"))
+    key = F.when(n % 3 == 0, F.lit(7)).when(n % 10 == 1, F.lit(None)).otherwise(n % 5000)
+    return spark.range(0, 90_000, numPartitions=12).select(
+        "id", key.cast("long").alias("k"), F.md5(n.cast("string")).alias("payload"))
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
-def test_hot_keys_of_a_large_lookup_are_not_shuffled(spark, no_small_sides, how):
+def test_hot_key_of_a_large_lookup_is_split(spark, no_small_sides, how):
     rows = hot_rows(spark)
     lookup = rows.dropna().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     out = sizing.attach(rows, lookup, "k", how)
-    placed = out.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert placed >= 12
+    got = out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
-    plain = rows.join(lookup, "k", how)
-    assert out.columns == plain.columns
-    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-
-
-def test_hot_keys_are_few(spark, no_small_sides):
-    hot = [r["k"] for r in sizing.hot_keys(hot_rows(spark), ["k"]).collect()]
-    assert hot == [7]
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(got) == (90_000 if how == "left" else rows.dropna().count())
+    if how != "left_semi":
+        assert {r["n"] for r in got if r["k"] == 7} == {sum(r["k"] == 7 for r in got)}
+        assert all(r["n"] is None for r in got if r["k"] is None)
 
 
 def test_group_statistics_never_window_raw_rows(spark):
