@@ -23,14 +23,19 @@ def top_values(df: DataFrame, column: str, k: int, name: str = "value") -> DataF
     return value_counts(df, column, name=name).orderBy(F.col("n").desc(), F.col(name)).limit(k)
 
 
-def flatten(df: DataFrame, column: str, name: str = "value") -> DataFrame:
-    """One row per non-blank element of an array column."""
-    items = df.select(F.explode(column).alias(name)).select(strip(F.col(name)).alias(name))
-    return items.where((F.col(name) != "") & F.col(name).isNotNull())
+def element_counts(df: DataFrame, column: str, name: str = "value") -> DataFrame:
+    """(value, n) over the trimmed non-blank elements of an array column.
+
+    Elements are counted as they are and trimmed afterwards, once per distinct spelling.
+    """
+    spelled = df.select(F.explode(column).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    trimmed = spelled.select(strip(F.col(name)).alias(name), "_n").where(F.col(name) != "")
+    return trimmed.groupBy(name).agg(F.sum("_n").alias("n"))
 
 
 def top_elements(df: DataFrame, column: str, k: int, name: str = "value") -> DataFrame:
-    return top_values(flatten(df, column, name), name, k, name)
+    """The k most frequent elements of an array column; equal counts in value order."""
+    return element_counts(df, column, name).orderBy(F.col("n").desc(), name).limit(k)
 
 
 def shares(counts: DataFrame, n: str = "n") -> DataFrame:

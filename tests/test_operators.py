@@ -116,9 +116,9 @@ def test_top_values_break_ties_by_value(spark):
     assert [tuple(r) for r in freq.top_values(df, "t", 2).collect()] == [("c", 2), ("a", 1)]
 
 
-def test_flatten_drops_blank_items(spark):
-    df = spark.createDataFrame([([" a ", "", None, "b"],), ([],), (None,)], "x array<string>")
-    assert sorted(r[0] for r in freq.flatten(df, "x").collect()) == ["a", "b"]
+def test_elements_are_trimmed_and_blanks_dropped(spark):
+    df = spark.createDataFrame([([" a ", "", None, "b"],), (["a", " "],), ([],), (None,)], "x array<string>")
+    assert [tuple(r) for r in freq.top_elements(df, "x", 5).collect()] == [("a", 2), ("b", 1)]
 
 
 def test_shares_sum_to_hundred(spark):
