@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # Distinct cells that one sorted window task may walk through.
 WINDOW_ROWS = 500_000
+# Slices of a sliced running sum; past this, slices grow instead (their sort spills).
+MAX_SLICES = 5_000
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -104,7 +106,7 @@ def running_sums(
             "*", *[F.sum(c).over(window).alias(new) for c, new in sums.items()],
             *[F.sum(c).over(whole).alias(new) for c, new in totals.items()])
 
-    slices = max(2, math.ceil(2 * size / limit))
+    slices = min(MAX_SLICES, max(2, math.ceil(2 * size / limit)))
     ranged = pinned(
         kept.repartitionByRange(slices, *[F.col(k) for k in keys], along)
         .withColumn("_slice", F.spark_partition_id()))

@@ -60,6 +60,13 @@ def test_running_sums_without_groups_in_slices(spark):
     assert sorted((r.x, r.upto) for r in out.collect()) == [(i, i + 1) for i in range(200)]
 
 
+def test_slices_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_SLICES", 3)
+    cells = spark.range(300).select(F.col("id").alias("x"), F.lit(2).alias("n"))
+    out = sizing.running_sums(cells, [], "x", {"n": "upto"}, totals={"n": "all"}, window_rows=4)
+    assert sorted((r.x, r.upto, r["all"]) for r in out.collect()) == [(i, 2 * i + 2, 600) for i in range(300)]
+
+
 def test_attach_broadcasts_only_small_lookups(spark):
     rows = spark.range(50).withColumn("k", F.col("id") % 5)
     lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
