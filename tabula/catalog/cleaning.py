@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabula.catalog.registry import Tables, query, r6
 from tabula.functions import cleaning as c
 from tabula.functions import numeric as num
-from tabula.operators import dedup, encode, freq, profile
+from tabula.operators import dedup, encode, profile
 from tabula.operators.sizing import shared_folder
 from tabula.plans.cleaning import clean_all
 from tabula.sources import delimited, tables

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.numeric import flag
-from tabula.operators.sizing import attach, running_sums
+from tabula.operators.sizing import attach, running_sums, with_keys
 
 
 def with_group(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
@@ -18,7 +18,7 @@ def with_group(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
     ``source`` is the table to aggregate when ``df`` already carries other joins, so that they are
     not computed again below the aggregate.
     """
-    lookup = (df if source is None else source).dropna(subset=list(keys)).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    lookup = with_keys(df if source is None else source, keys).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     return attach(df, lookup, list(keys))
 
 

@@ -53,6 +53,13 @@ def counted(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, kept.count()
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are all present, as filters a columnar scan can use."""
+    for key in keys:
+        df = df.where(F.col(f"`{key}`").isNotNull())
+    return df
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from tabula.operators.sizing import attach, one_row, running_sums
+from tabula.operators.sizing import attach, one_row, running_sums, with_keys
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -20,7 +20,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def group_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Mean, sample standard deviation and maximum per group."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(
+    return with_keys(df, keys).groupBy(*keys).agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.max(value).alias("max"))
 
 
