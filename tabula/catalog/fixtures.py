@@ -119,7 +119,8 @@ SELECT c_custkey AS seq,
        WHEN c_custkey % 21 < 20 THEN 'High' ELSE 'Unknown' END AS Threat_Severity
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
 """,
-    # race laps: a line is a lap, a supplier a race, the return flag a tyre compound
+    # race laps: a line is a lap, a supplier a race, the return flag a tyre compound; the odd divisors
+    # keep rounded means off exact ties
     "laps": """
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_extendedprice AS STRING) AS id,
   CASE WHEN l_partkey % 5 = 0 THEN 'D' || CAST(l_partkey % 40 AS STRING)
