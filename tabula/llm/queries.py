@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabula.llm import bpe_automaton, sharding, token_files
+from tabula.llm import bpe_automaton, language_codes, multi_index, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +31,19 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+@_query("op3_multi_index")
+def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query("op6_language_codes")
+def op6_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = language_codes.predict(docs, language_codes.fit(docs))
+    return found.select(
+        "doc_id", (language_codes.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @_query("op8_feistel_shards")
 def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, folder, "documents"), shards=8)
