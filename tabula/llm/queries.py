@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import bpe_automaton, language_codes, multi_index, sharding, token_files
+from tabula.llm import bpe_automaton, dart_minhash, language_codes, multi_index, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@_query("op4_dart_minhash")
+def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return dart_minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 @_query("op6_language_codes")
 def op6_language_codes(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
