@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import bpe_automaton, dart_minhash, language_codes, multi_index, sharding, token_files
+from tabula.llm import bpe_automaton, dart_minhash, decontaminate, language_codes, multi_index, sharding, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,12 @@ def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return dart_minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+@_query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, folder, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @_query("op6_language_codes")
 def op6_language_codes(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
@@ -49,6 +55,11 @@ def op6_language_codes(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (language_codes.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+@_query("op7_cgk_decontamination")
+def op7_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_query("op8_feistel_shards")
 def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, folder, "documents"), shards=8)

@@ -11,6 +11,8 @@ _POWERS: dict[int, np.ndarray] = {}
 # The bytes taken for white space between words; fixed values.
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+# The bytes between words where only letters and digits count; every byte beyond ASCII counts as a letter.
+NOT_ALNUM = np.asarray([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,12 +50,12 @@ def range_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return mix((total[stop] - total[start]) * powers(_BASE_INVERSE, len(data) + 1)[start] + (stop - start).astype(_U))
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (lower case, cut at ASCII white space) of all texts, and the borders of the texts."""
+def words(texts: list[str], between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word (lower case, cut at the bytes ``between``) of all texts, and the borders of the texts."""
     data, borders = joined([t.lower().encode("utf-8", "surrogatepass") for t in texts])
     if not len(data):
         return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
-    solid = ~_IS_SPACE[data]
+    solid = ~between[data]
     before = np.empty_like(solid)
     before[0], before[1:] = False, solid[:-1]
     before[borders[:-1][borders[:-1] < len(data)]] = False
