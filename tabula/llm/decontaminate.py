@@ -26,7 +26,7 @@ from tabula.llm.textnum import NOT_ALNUM, mix, powers, words
 _U = np.uint64
 SEED_WORDS = 3
 #: Walks, samples of each, coordinates of a sample: an alignment at the limit is missed in under one of a hundred (tested).
-WALKS, SAMPLES, COORDINATES = 12, 12, 3
+WALKS, SAMPLES, COORDINATES = 12, 12, 8
 ITEM_BLOCK = 20_000
 _FILTER_BITS = 22
 
@@ -145,32 +145,36 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int, in
     return [(t, i, *best) for (t, i), best in sorted(found.items())]
 
 
+def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[str]]]:
+    """Ids and texts of the items, in blocks of about ``block`` items."""
+    known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
+    blocks = -(-known.count() // block)
+    for turn in range(blocks):
+        own = known if blocks == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == turn)
+        listed = own.collect()
+        if listed:
+            yield [r["item_id"] for r in listed], [r["text"] for r in listed]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
     """doc_id, item_id, distance, first_word, n_words: the best place of each benchmark item in each document.
 
     Words are lower-case runs of letters and digits; whole texts are searched. Null and empty texts
-    have no rows; items that are null or shorter than three words are not searched for; equal rows of either table
-    have rows of their own; an empty table on either side gives none. Columns other than doc_id, text and item_id are ignored.
+    have no rows; items that are null or shorter than three words are not searched for; equal rows of
+    either table have rows of their own; an empty table on either side gives none. Columns other than doc_id,
+    text and item_id are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
-    out = spark.createDataFrame([], "doc_id long, item_id long, distance int, first_word long, n_words int")
-    n = known.count()
-    blocks = -(-n // block)
-    for turn in range(blocks):
-        own = known if blocks == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == turn)
-        listed = own.collect()
-        if not listed:
-            continue
-        ids, texts = [r["item_id"] for r in listed], [r["text"] for r in listed]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
+    out = None
+    schema = "doc_id long, item_id long, distance int, first_word long, n_words int"
+    for ids, texts in _blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
             items = Items([i or 0 for i in ids], texts)
             for batch in batches:
-                doc = batch.column(0).to_pylist()
-                text = batch.column(1).to_pylist()
+                doc, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 for some in range(0, len(doc), 500):
                     hits = matches(text[some: some + 500], items)
                     if hits:
@@ -180,6 +184,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK)
                             pa.array([h[3] for h in hits], pa.int64()), pa.array([h[4] for h in hits], pa.int32())],
                             names=["doc_id", "item_id", "distance", "first_word", "n_words"])
 
-        found = rows.mapInArrow(run, out.schema)
-        out = found if turn == 0 else out.unionByName(found)
-    return out
+        found = rows.mapInArrow(run, schema)
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no benchmark item is found; row by row, no shuffle.
+
+    The text column must be named ``text``. Rows without a text are kept; see :func:`contaminated`.
+    """
+    small_batches(docs.sparkSession)
+    place = docs.columns.index("text")
+    for ids, texts in _blocks(benchmark, block):
+
+        def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
+            items = Items([i or 0 for i in ids], texts)
+            for batch in batches:
+                for some in range(0, batch.num_rows, 500):
+                    part = batch.slice(some, 500)
+                    found = {h[0] for h in matches([t or "" for t in part.column(place).to_pylist()], items)}
+                    yield part.filter(pa.array([i not in found for i in range(part.num_rows)], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

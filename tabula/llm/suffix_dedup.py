@@ -199,7 +199,9 @@ def _rows(rows: list[tuple]) -> pa.Table:
 
 
 def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: int = HOT) -> DataFrame:
-    """``carry`` columns of every row of ``docs``, then kept (binary), n_bytes, n_removed, n_spans, kept_sha256.
+    """``carry`` columns of every row of ``docs``, then kept_text, n_bytes, n_removed, n_spans, kept_sha256.
+
+    ``kept_text`` is what remains, without the bytes of characters that were cut in two; the digest is of all remaining bytes.
 
     Reads ``doc_id`` and ``text``. A byte goes if a ``width``-byte string over it also starts in a row
     with a smaller doc_id; strings are judged on the input. Null texts count as empty; rows with a null doc_id keep all and
@@ -422,12 +424,12 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             lost = np.ones(b - a, bool) if copies[i] else gone[a:b]
             kept = t if not lost.any() else chunk.data[a:b][~lost].tobytes()
             spans = int(lost[:1].sum() + (lost[1:] & ~lost[:-1]).sum())
-            whole.append((kept, len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+            whole.append((kept.decode("utf-8", "ignore"), len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
         columns = list(zip(*whole)) or [()] * 5
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         return pa.Table.from_arrays(
             [*chunk.table.columns[: len(carry)], *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-            names=[*carry, "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            names=[*carry, "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried)
     return (
@@ -436,4 +438,4 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         .groupBy("chunk").applyInArrow(stretches, _DDL)
         .groupBy("shard").applyInArrow(sorted_out, _DDL)
         .groupBy("chunk").applyInArrow(
-            apply, kinds + "kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+            apply, kinds + "kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
