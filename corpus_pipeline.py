@@ -28,9 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that an earlier document has in a string of 50."""
-    found = suffix_dedup.remove_repeats(docs.select(*COLUMNS), COLUMNS)
-    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    return found.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+    found = suffix_dedup.remove_repeats(docs, ["doc_id", "lang", "source"])
+    return found.select(
+        "doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

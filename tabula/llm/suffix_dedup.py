@@ -201,7 +201,8 @@ def _rows(rows: list[tuple]) -> pa.Table:
 def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: int = HOT) -> DataFrame:
     """``carry`` columns of every row of ``docs``, then kept_text, n_bytes, n_removed, n_spans, kept_sha256.
 
-    ``kept_text`` is what remains, without the bytes of characters that were cut in two; the digest is of all remaining bytes.
+    ``kept_text`` is what remains, without the bytes of characters that were cut in two, or null where the
+    text is null; the digest is of all remaining bytes.
 
     Reads ``doc_id`` and ``text``. A byte goes if a ``width``-byte string over it also starts in a row
     with a smaller doc_id; strings are judged on the input. Null texts count as empty; rows with a null doc_id keep all and
@@ -418,13 +419,13 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             np.add.at(edge, begin, 1)
             np.add.at(edge, begin + width, -1)
         gone = np.cumsum(edge[:-1]) > 0
-        whole = []
+        whole, absent = [], chunk.table["__text"].combine_chunks().is_null().to_pylist()
         for i, t in enumerate(chunk.texts):
             a, b = chunk.borders[i], chunk.borders[i + 1]
             lost = np.ones(b - a, bool) if copies[i] else gone[a:b]
             kept = t if not lost.any() else chunk.data[a:b][~lost].tobytes()
             spans = int(lost[:1].sum() + (lost[1:] & ~lost[:-1]).sum())
-            whole.append((kept.decode("utf-8", "ignore"), len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+            whole.append((None if absent[i] else kept.decode("utf-8", "ignore"), len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
         columns = list(zip(*whole)) or [()] * 5
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         return pa.Table.from_arrays(
