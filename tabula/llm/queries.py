@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm import bpe_automaton, dart_minhash, decontaminate, language_codes, multi_index, sharding, suffix_dedup, token_files
+from tabula.llm import bpe_automaton, dart_minhash, decontaminate, html_blocks, language_codes, license_scan, multi_index, sharding, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,12 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+@_query("op2_html_blocks")
+def op2_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return html_blocks.extract(pages, html_blocks.fit(pages))
+
+
 @_query("op3_multi_index")
 def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
@@ -65,6 +71,11 @@ def op8_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, folder, "documents"), shards=8)
 
 
+@_query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.licenses(_table(spark, folder, "documents"))
+
+
 @_query("op10_bpe_automaton")
 def op10_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.encode_digests(

@@ -32,3 +32,10 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+
+
+def lean_memory() -> None:
+    """In a worker: let Arrow allocate like everything else, so that what a batch used goes back to the system."""
+    import pyarrow as pa
+
+    pa.set_memory_pool(pa.system_memory_pool())
