@@ -28,11 +28,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tabula.llm.storage import small_batches
+from tabula.llm.storage import lean_memory, small_batches
 from tabula.llm.units import SEPARATORS, Cache
 
-CACHED_UNITS = 400_000
-CACHED_ARCS = 2_000_000
+CACHED_UNITS = 150_000
+CACHED_ARCS = 500_000
 _AUTOMATA: dict[str, "Automaton"] = {}
 # White space of the Unicode standard; fixed values.
 _SPACE = r"[\t-\r \x85\xa0  -     　]"
@@ -193,6 +193,7 @@ def encode_digests(docs: DataFrame, tokenizer: str, keep: list[str] | None = Non
     rows = docs.select(*[f"`{c}`" for c in keep], docs["text"].alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         model = automaton(tokenizer)
         for batch in batches:
             counts, ids, decoded = [], [], []

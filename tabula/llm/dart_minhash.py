@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.llm.components import components
-from tabula.llm.storage import small_batches, stored
+from tabula.llm.storage import lean_memory, small_batches, stored
 from tabula.llm.textnum import mix, shingles, words
 
 _U = np.uint64
@@ -106,6 +106,7 @@ def weighted_shingles(texts: list[str], width: int, counted: bool) -> tuple[np.n
 def _sketch(docs: DataFrame, width: int, counted: bool, bands: int, rows: int) -> DataFrame:
     """doc_id, copy (hash of the word sequence) and band keys of every text with a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for some in range(0, len(ids), 250):
@@ -135,6 +136,7 @@ def _sketch(docs: DataFrame, width: int, counted: bool, bands: int, rows: int) -
 
 def _sets(docs: DataFrame, width: int, counted: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for some in range(0, len(texts), 250):
@@ -167,6 +169,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, counted: bool, lea
         .join(sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("weights").alias("wb")), "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             a, b, ea, wa, eb, wb = (batch.column(c) for c in ("a", "b", "ea", "wa", "eb", "wb"))
             keep = [

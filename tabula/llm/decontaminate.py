@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.storage import small_batches
+from tabula.llm.storage import lean_memory, small_batches
 from tabula.llm.textnum import NOT_ALNUM, mix, powers, words
 
 _U = np.uint64
@@ -172,6 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK)
     for ids, texts in _blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
+            lean_memory()
             items = Items([i or 0 for i in ids], texts)
             for batch in batches:
                 doc, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -199,6 +200,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -
     for ids, texts in _blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
+            lean_memory()
             items = Items([i or 0 for i in ids], texts)
             for batch in batches:
                 for some in range(0, batch.num_rows, 500):

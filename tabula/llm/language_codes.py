@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.storage import small_batches
+from tabula.llm.storage import lean_memory, small_batches
 from tabula.llm.textnum import joined
 
 BUCKETS = 4096
@@ -151,6 +151,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None)
     rows = docs.select(*[f"`{c}`" for c in keep], docs["text"].alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             usable = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]

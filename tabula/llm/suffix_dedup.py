@@ -35,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.llm.induced_sorting import common_prefixes, suffix_order
-from tabula.llm.storage import parts_for, shared_folder, small_batches
+from tabula.llm.storage import lean_memory, parts_for, shared_folder, small_batches
 from tabula.llm.textnum import mix, powers
 
 _U = np.uint64
 WIDTH = 50
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 12_000_000
+#: Bytes of contexts that are sorted together; the contexts of one anchor are never parted.
+SORT_BYTES = 2_000_000
 #: Chunks that hold one anchor beyond which its contexts are split into single windows.
 HOT = 200
 _LOW = _U((1 << 40) - 1)
@@ -113,7 +115,7 @@ class _Chunk:
                 if len(self.texts[i]) >= self.width and self.ids[i] is not None:
                     group.append(i)
                     size += len(self.texts[i])
-                if size < 4_000_000:
+                if size < 1_000_000:
                     continue
             if group:
                 a, b = self.borders[group[0]], self.borders[group[-1] + 1]
@@ -212,12 +214,13 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     spark = docs.sparkSession
     small_batches(spark, 500)
     folder = shared_folder(spark, "suffix-chunks")
-    shards = parts_for(spark, docs.count(), 8_000)
+    shards = parts_for(spark, docs.count(), 4_000)
     given = docs.select(
         *[f"`{c}`" for c in carry], docs["doc_id"].cast("long").alias("__id"), docs["text"].alias("__text"))
     carried = given.schema.fields[: len(carry)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -298,6 +301,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         return _rows(found)
 
     def stretches(key: tuple, table: pa.Table) -> pa.Table:
+        lean_memory()
         name, rows = key[0].as_py(), table.to_pylist()
         chunk = _Chunk(pq.read_table(io.BytesIO(_read(folder, f"chunk-{name}"))), width)
         copies = np.zeros(len(chunk.texts), bool)
@@ -354,6 +358,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     def sorted_out(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return table
+        lean_memory()
         rows = table.to_pylist()
         contexts, chunk, number, keys, ids = [], [], [], [], []
         for r in rows:
@@ -380,10 +385,20 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         several = np.flatnonzero(variants[of_key] > 1)
         begin = np.cumsum(windows) - windows
         earliest = np.repeat(least, windows)
-        if len(several):
-            group = classes_of([text[i] for i in several], windows[several], width)
-            flat = np.repeat(begin[several], windows[several]) + np.arange(windows[several].sum()) - np.repeat(
-                np.cumsum(windows[several]) - windows[several], windows[several])
+        several = several[np.argsort(of_key[several], kind="stable")]
+        filled = np.cumsum(windows[several] + width - 1)
+        borders = np.flatnonzero(np.diff(of_key[several], prepend=-1))
+        cuts, last = [], 0
+        for border in borders[1:].tolist():
+            if filled[border - 1] - last >= SORT_BYTES:
+                cuts.append(border)
+                last = filled[border - 1]
+        for some in np.split(several, cuts):
+            if not len(some):
+                continue
+            group = classes_of([text[i] for i in some], windows[some], width)
+            flat = np.repeat(begin[some], windows[some]) + np.arange(windows[some].sum()) - np.repeat(
+                np.cumsum(windows[some]) - windows[some], windows[some])
             best = np.full(group.max() + 1, np.iinfo(np.int64).max)
             np.minimum.at(best, group, earliest[flat])
             earliest[flat] = best[group]
