@@ -9,8 +9,9 @@ coordinates, about ``k ln k + 2k`` hits a text however many elements it has; tex
 
 The plan: exact copies fold into one representative; signatures are cut into bands; within a band's
 bucket texts are linked to its centre (the text with most copies), not to each other; links are
-verified on whole shingle sets; where a bucket still falls into several components, the texts
-outside its main component are compared with those of other components. Classes are the components.
+verified on whole shingle sets. Where a bucket still falls into several components, the texts outside
+its main component are compared with those of other components, unless the elements they share with any text there
+are too few for the threshold (an exact bound that leaves out variants with many edits of their own). Classes are the components.
 """
 
 from __future__ import annotations
@@ -160,10 +161,32 @@ def _similarity(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
     return both / max(1e-300, u.sum() + v.sum() - both)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, counted: bool, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough; only texts that occur in a pair are read out."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(_sets(texts.join(ids, "id", "left_semi").select("id", "text"), width, counted), "sets")
+def _own_weight(sets: DataFrame) -> DataFrame:
+    """id, weight of all its elements, and weight of those that no other of ``sets`` has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                elements = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                given = np.frombuffer(batch.column(2)[i].as_buffer(), np.float32).astype(float)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(elements), batch.column(0)[i].as_py())), pa.array(elements),
+                    pa.array(given if len(given) else np.ones(len(elements)))], names=["id", "element", "weight"])
+
+    elements = sets.select("id", "elements", "weights").mapInArrow(run, "id long, element long, weight double")
+    seen = elements.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min("weight").alias("weight"))
+    alone = seen.where("n = 1").groupBy("id").agg(F.sum("weight").alias("own"))
+    total = elements.groupBy("id").agg(F.sum("weight").alias("total"))
+    return total.join(alone, "id", "left").select("id", "total", F.coalesce("own", F.lit(0.0)).alias("own"))
+
+
+def _sets_of(ids: DataFrame, texts: DataFrame, width: int, counted: bool) -> DataFrame:
+    """Shingle sets of the texts named by ``ids``, written once."""
+    return stored(_sets(texts.join(ids, "id", "left_semi").select("id", "text"), width, counted), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are similar enough."""
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("weights").alias("wa")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("weights").alias("wb")), "b"))
@@ -207,11 +230,16 @@ def near_duplicates(
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a != b").distinct()
 
+    def ids_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
     texts = usable.select(F.col("doc_id").alias("id"), "text")
-    first = _verified(ordered(members.select(F.col("rep").alias("x"), F.col("centre").alias("y"))), texts, width, counted, least)
+    stars = stored(ordered(members.select(F.col("rep").alias("x"), F.col("centre").alias("y"))), "stars")
+    first = _verified(stars, _sets_of(ids_of(stars), texts, width, counted), least)
     roots = stored(components(first, "a", "b"), "roots")
 
-    # Buckets that the stars left in pieces: what is outside the main piece meets the other pieces.
+    # Buckets that the stars left in pieces: what is outside the main piece meets the other pieces,
+    # where the elements that both sides share with anyone at all could still make them similar.
     pieces = (
         members.where("size > 2").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .select("bucket", "rep", "centre", F.coalesce("root", "rep").alias("root")))
@@ -219,11 +247,18 @@ def near_duplicates(
     main = sizes.groupBy("bucket").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", "main")
     open_ = stored(pieces.join(main, "bucket"), "pieces")
-    outside = open_.where("root != main").select("bucket", F.col("rep").alias("x"), F.col("root").alias("x_root"), "centre")
-    others = open_.select("bucket", F.col("rep").alias("y"), F.col("root").alias("y_root"))
-    second = ordered(
-        outside.join(others, "bucket").where("x_root != y_root and y != centre and x != centre").select("x", "y"))
-    links = first.unionByName(_verified(second, texts, width, counted, least))
+    open_sets = _sets_of(open_.select(F.col("rep").alias("id")).distinct(), texts, width, counted)
+    weight = _own_weight(open_sets).select(F.col("id").alias("rep"), "total", (F.col("total") - F.col("own")).alias("shared"))
+    hopeful = stored(open_.join(weight.where(F.col("shared") >= (least - 1e-9) * F.col("total")), "rep"), "hopeful")
+    outside = hopeful.where("root != main").select(
+        "bucket", F.col("rep").alias("x"), F.col("root").alias("x_root"), "centre", F.col("total").alias("x_total"), F.col("shared").alias("x_shared"))
+    others = hopeful.select(
+        "bucket", F.col("rep").alias("y"), F.col("root").alias("y_root"), F.col("total").alias("y_total"), F.col("shared").alias("y_shared"))
+    common = F.least("x_shared", "y_shared")
+    second = ordered(outside.join(others, "bucket").where(
+        "x_root != y_root and y != centre and x != centre").where(
+        common >= (least - 1e-9) * (F.col("x_total") + F.col("y_total") - common)).select("x", "y"))
+    links = first.unionByName(_verified(second, open_sets, least))
 
     copies = sketch.join(reps.select("copy", "rep"), "copy").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
     classes = stored(components(links.unionByName(copies), "a", "b"), "classes")
