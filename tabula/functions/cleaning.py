@@ -120,10 +120,11 @@ def parse_list_literal(text: Column) -> Column:
 
 
 def epoch_to_timestamp(epoch: Column) -> Column:
-    """Epoch seconds, or milliseconds when the number is too large for seconds."""
+    """Epoch seconds, or milliseconds when the number is too large for seconds; NULL outside years 1 to 9999."""
     millis = F.timestamp_millis(epoch.cast("bigint"))
     seconds = F.timestamp_micros((epoch * 1_000_000).cast("bigint"))
-    return F.when(epoch > 1e11, millis).otherwise(seconds)
+    return F.when((epoch > 1e11) & (epoch < 253_402_300_800_000), millis).when(
+        (epoch >= -62_135_596_800) & (epoch <= 1e11), seconds)
 
 
 def concat_text(*texts: Column) -> Column:

@@ -58,7 +58,8 @@ def boosted(rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: flo
     if weighted:
         model.setWeightCol(WEIGHT)
     if validation:
-        model.setValidationIndicatorCol(validation)
+        # the default tolerance asks every round for a gain of a hundredth and keeps one tree at small rates
+        model.setValidationIndicatorCol(validation).setParams(validationTol=0.0)
     return model
 
 

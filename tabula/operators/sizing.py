@@ -129,9 +129,15 @@ def running_sums(
         .select("_slice", *keys, *[
             F.coalesce(F.sum(f"_sum_{new}").over(before), F.lit(0)).alias(f"_off_{new}")
             for new in sums.values()],
-            *[F.sum(f"_all_{new}").over(whole).alias(new) for new in totals.values()]))
+            *[F.sum(f"_all_{new}").over(whole).alias(new) for new in totals.values()])
+        .select(F.col("_slice").alias("_at"), *[F.col(k).alias(f"_at_{k}") for k in keys], *[
+            f"_off_{new}" for new in sums.values()], *totals.values()))
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_in_{new}") for c, new in sums.items()])
-    joined = attach(local, offsets, ["_slice", *keys])
+    # a missing key is a group like any other, so the offsets are found null-safe
+    same = F.col("_slice") == F.col("_at")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_at_{key}"))
+    joined = local.join(offsets, same)
     return joined.select(
         *cells.columns,
         *[(F.col(f"_in_{new}") + F.col(f"_off_{new}")).alias(new) for new in sums.values()],

@@ -118,3 +118,12 @@ def test_tokens_and_bigrams(spark):
     assert values(spark, rows, "t string", words) == [["élan", "vital", "x_1", "élan"], ["one"], []]
     assert values(spark, rows, "t string", tx.with_bigrams(words)) == [
         ["élan", "vital", "x_1", "élan", "élan vital", "vital x_1", "x_1 élan"], ["one"], []]
+
+
+def test_epochs_out_of_range_are_null(spark):
+    from pyspark.sql import functions as F
+
+    from tabula.functions.cleaning import epoch_to_timestamp
+
+    rows = spark.createDataFrame([(1e300,), (float("nan"),), (-1e15,), (0.0,), (1.7e12,)], "e double")
+    assert [r["t"] is None for r in rows.select(epoch_to_timestamp(F.col("e")).alias("t")).collect()] == [True, True, True, False, False]

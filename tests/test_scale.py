@@ -52,3 +52,13 @@ def test_group_statistics_never_window_raw_rows(spark):
                 groupwise.ratio_and_zscore(rows, "g", "x", "q", "z")):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_missing_keys_keep_their_sums_in_slices(spark):
+    from tabula.operators.sizing import running_sums
+
+    cells = spark.createDataFrame(
+        [(g, float(v), 1 + v % 3) for g in ("a", None) for v in range(40)], "g string, v double, n long")
+    whole = running_sums(cells, ["g"], "v", {"n": "upto"}, {"n": "total"})
+    sliced = running_sums(cells, ["g"], "v", {"n": "upto"}, {"n": "total"}, window_rows=5)
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, sliced.collect()), key=repr)
