@@ -10,8 +10,8 @@ coordinates, about ``k ln k + 2k`` hits a text however many elements it has; tex
 The plan: exact copies fold into one representative; signatures are cut into bands; within a band's
 bucket texts are linked to its centre (the text with most copies), not to each other; links are
 verified on whole shingle sets. Where a bucket still falls into several components, the texts outside
-its main component are compared with those of other components, unless the elements they share with any text there
-are too few for the threshold (an exact bound that leaves out variants with many edits of their own). Classes are the components.
+its main component are compared with those of other components, where both have one of the rare elements by which
+similar sets must meet (an exact bound: variants of one text with many edits of their own are not paired). Classes are the components.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.llm.components import components
@@ -161,23 +161,43 @@ def _similarity(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
     return both / max(1e-300, u.sum() + v.sum() - both)
 
 
-def _own_weight(sets: DataFrame) -> DataFrame:
-    """id, weight of all its elements, and weight of those that no other of ``sets`` has."""
+def _elements(sets: DataFrame) -> DataFrame:
+    """One row for each element of each set: id, element, its weight there, and the weight of the whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_memory()
         for batch in batches:
             for i in range(batch.num_rows):
                 elements = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
                 given = np.frombuffer(batch.column(2)[i].as_buffer(), np.float32).astype(float)
+                weight = given if len(given) else np.ones(len(elements))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(elements), batch.column(0)[i].as_py())), pa.array(elements),
-                    pa.array(given if len(given) else np.ones(len(elements)))], names=["id", "element", "weight"])
+                    pa.array(np.full(len(elements), batch.column(0)[i].as_py())), pa.array(elements), pa.array(weight),
+                    pa.array(np.full(len(elements), weight.sum()))], names=["id", "element", "weight", "total"])
 
-    elements = sets.select("id", "elements", "weights").mapInArrow(run, "id long, element long, weight double")
-    seen = elements.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min("weight").alias("weight"))
-    alone = seen.where("n = 1").groupBy("id").agg(F.sum("weight").alias("own"))
-    total = elements.groupBy("id").agg(F.sum("weight").alias("total"))
-    return total.join(alone, "id", "left").select("id", "total", F.coalesce("own", F.lit(0.0)).alias("own"))
+    return sets.select("id", "elements", "weights").mapInArrow(run, "id long, element long, weight double, total double")
+
+
+def _rare_elements(sets: DataFrame, least: float) -> DataFrame:
+    """id, element, own, partner: the elements by which a set can be found by a similar one.
+
+    Elements are ordered from rare to frequent. Two sets of weights p and q that are similar enough share
+    a weight of at least ``least / (1 + least) * (p + q)``, so the first element they share must have that much
+    weight from it onwards in both. ``own`` and ``partner`` are steps of the weights (by 2 %) of the set and of
+    those that it can still match by this element; elements of one set alone match nothing.
+    """
+    elements = _elements(sets)
+    seen = elements.groupBy("element").agg(F.count(F.lit(1)).alias("n_sets")).where("n_sets > 1")
+    onwards = Window.partitionBy("id").orderBy(F.desc("n_sets"), F.desc("element")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rest = elements.join(seen, "element").withColumn("rest", F.sum("weight").over(onwards))
+
+    def step(weight: Column) -> Column:
+        return F.floor(F.log(weight) / float(np.log(1.02))).cast("int")
+
+    low, high = F.col("total") * least, F.col("rest") * ((1 + least) / least) - F.col("total")
+    return rest.where(high >= low * (1 - 1e-9)).select(
+        "id", "element", step(F.col("total")).alias("own"),
+        F.explode(F.sequence(step(low * (1 - 1e-9)), step(F.greatest(low, high) * (1 + 1e-9)))).alias("partner"))
 
 
 def _sets_of(ids: DataFrame, texts: DataFrame, width: int, counted: bool) -> DataFrame:
@@ -239,7 +259,7 @@ def near_duplicates(
     roots = stored(components(first, "a", "b"), "roots")
 
     # Buckets that the stars left in pieces: what is outside the main piece meets the other pieces,
-    # where the elements that both sides share with anyone at all could still make them similar.
+    # by the rare elements that could still make them similar.
     pieces = (
         members.where("size > 2").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .select("bucket", "rep", "centre", F.coalesce("root", "rep").alias("root")))
@@ -248,16 +268,17 @@ def near_duplicates(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", "main")
     open_ = stored(pieces.join(main, "bucket"), "pieces")
     open_sets = _sets_of(open_.select(F.col("rep").alias("id")).distinct(), texts, width, counted)
-    weight = _own_weight(open_sets).select(F.col("id").alias("rep"), "total", (F.col("total") - F.col("own")).alias("shared"))
-    hopeful = stored(open_.join(weight.where(F.col("shared") >= (least - 1e-9) * F.col("total")), "rep"), "hopeful")
-    outside = hopeful.where("root != main").select(
-        "bucket", F.col("rep").alias("x"), F.col("root").alias("x_root"), "centre", F.col("total").alias("x_total"), F.col("shared").alias("x_shared"))
-    others = hopeful.select(
-        "bucket", F.col("rep").alias("y"), F.col("root").alias("y_root"), F.col("total").alias("y_total"), F.col("shared").alias("y_shared"))
-    common = F.least("x_shared", "y_shared")
-    second = ordered(outside.join(others, "bucket").where(
-        "x_root != y_root and y != centre and x != centre").where(
-        common >= (least - 1e-9) * (F.col("x_total") + F.col("y_total") - common)).select("x", "y"))
+    places = open_.groupBy("rep", "root").agg(
+        F.collect_list("bucket").alias("buckets"), F.max(F.col("root") != F.col("main")).alias("outside"))
+    rare = stored(_rare_elements(open_sets, least).join(places.withColumnRenamed("rep", "id"), "id"), "rare")
+    key = ["element", "low", "high"]
+    rare = rare.withColumns({"low": F.least("own", "partner"), "high": F.greatest("own", "partner")})
+    met = rare.groupBy(*key).agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select(*key)
+    rare = stored(rare.join(met, key, "left_semi"), "rare")
+    x, y = (rare.select(*key, *[F.col(c).alias(f"{side}_{c}") for c in ("id", "own", "partner", "root", "buckets", "outside")]) for side in "xy")
+    second = ordered(x.where("x_outside").join(y, key).where(
+        "x_own = y_partner and x_root != y_root and arrays_overlap(x_buckets, y_buckets)").select(
+        F.col("x_id").alias("x"), F.col("y_id").alias("y")))
     links = first.unionByName(_verified(second, open_sets, least))
 
     copies = sketch.join(reps.select("copy", "rep"), "copy").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
