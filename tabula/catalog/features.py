@@ -283,14 +283,14 @@ def label_encode(t: Tables):
         "p_partkey", "code")
 
 
-@query("one_hot", """
-SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS "seg_BUILDING",
-  CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS "seg_MACHINERY" FROM customer
-""")
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("one_hot", "SELECT c_custkey, " + ", ".join(
+    f"""CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END AS "seg_{s}\"""" for s in _SEGMENTS) + " FROM customer")
 def one_hot(t: Tables):
-    levels = ["BUILDING", "MACHINERY"]
-    return encode.one_hot(t.customer, "c_mktsegment", levels, "seg").select(
-        "c_custkey", *[f"seg_{level}" for level in levels])
+    return encode.one_hot(t.customer, "c_mktsegment", _SEGMENTS, "seg").select(
+        "c_custkey", *[f"seg_{level}" for level in _SEGMENTS])
 
 
 @query("topn_else_other", """

@@ -21,17 +21,19 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        # only local sessions set this: tables of one small file then use every core
+        self.parts = int(spark.conf.get("tabula.local.parts", "0"))
 
     def __getattr__(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
 
     def derived(self, name: str) -> DataFrame:
         text, inputs = fixtures.spark_sql(name)
-        tables = {i: read_table(self.spark, self.folder, i, spread=i == inputs[0]) for i in inputs}
+        tables = {i: read_table(self.spark, self.folder, i, parts=self.parts if i == inputs[0] else None) for i in inputs}
         return self.spark.sql(text, **tables)
 
     def spread(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, name, spread=True)
+        return read_table(self.spark, self.folder, name, parts=self.parts)
 
     def pulses(self) -> DataFrame:
         return clean_pulses(self.derived("pulses_raw"), ["seq"])

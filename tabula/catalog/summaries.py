@@ -133,14 +133,15 @@ def class_balance(t: Tables):
     return freq.class_balance(t.labels, "quality").withColumn("share", r6("share"))
 
 
-@query("crosstab_counts", """
-SELECT o_orderstatus, count(*) FILTER (o_orderpriority = '1-URGENT') AS "p_1-URGENT",
-  count(*) FILTER (o_orderpriority = '5-LOW') AS "p_5-LOW", 0::BIGINT AS "p_0-NEVER"
-FROM orders GROUP BY 1
-""")
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("crosstab_counts", "SELECT o_orderstatus, " + ", ".join(
+    f"""count(*) FILTER (o_orderpriority = '{p}') AS "p_{p}\"""" for p in [*_PRIORITIES, "0-NEVER"])
+    + " FROM orders GROUP BY 1")
 def crosstab_counts(t: Tables):
-    return freq.crosstab(t.orders, "o_orderstatus", "o_orderpriority",
-                         ["1-URGENT", "5-LOW", "0-NEVER"], prefix="p_")
+    """All five levels, and one that no row has."""
+    return freq.crosstab(t.orders, "o_orderstatus", "o_orderpriority", [*_PRIORITIES, "0-NEVER"], prefix="p_")
 
 
 @query("crosstab_row_pct", """
@@ -154,18 +155,22 @@ def crosstab_row_pct(t: Tables):
     return out.select("p_type", r6("even_true").alias("even_true"), r6("even_false").alias("even_false"))
 
 
-@query("severity_compare", """
-SELECT level, CAST(row_number() OVER (ORDER BY level) - 1 AS INTEGER) AS position,
-  (SELECT count(*) FROM customer WHERE c_nationkey = CAST(substr(level, 8) AS INTEGER)) AS customers,
-  (SELECT count(*) FROM supplier WHERE s_nationkey = CAST(substr(level, 8) AS INTEGER)) AS suppliers
-FROM (VALUES ('nation 1'), ('nation 2'), ('nation 99')) AS v(level)
+_NATIONS = [f"nation {i}" for i in [*range(25), 99]]
+
+
+@query("severity_compare", f"""
+SELECT level, CAST(position AS INTEGER) AS position, coalesce(c.n, 0) AS customers, coalesce(s.n, 0) AS suppliers
+FROM (SELECT unnest({_NATIONS}) AS level, unnest(range({len(_NATIONS)})) AS position)
+LEFT JOIN (SELECT 'nation ' || c_nationkey AS level, count(*) AS n FROM customer GROUP BY 1) AS c USING (level)
+LEFT JOIN (SELECT 'nation ' || s_nationkey AS level, count(*) AS n FROM supplier GROUP BY 1) AS s USING (level)
 """)
 def severity_compare(t: Tables):
+    """All 25 nations, and one that no row has."""
     nation = F.lit("nation ")
     return freq.compare_levels({
         "customers": t.customer.select(F.concat(nation, F.col("c_nationkey").cast("string")).alias("level")),
         "suppliers": t.supplier.select(F.concat(nation, F.col("s_nationkey").cast("string")).alias("level")),
-    }, "level", ["nation 1", "nation 2", "nation 99"])
+    }, "level", _NATIONS)
 
 
 @query("dataset_share", """
@@ -297,11 +302,11 @@ SELECT feature, round(abs(c), 6) AS abs_correlation FROM (
   UNION ALL SELECT 'l_discount', corr(l_discount, y) FROM (SELECT *, (l_returnflag = 'R')::INT AS y FROM lineitem)
   UNION ALL SELECT 'l_tax', corr(l_tax, y) FROM (SELECT *, (l_returnflag = 'R')::INT AS y FROM lineitem)
   UNION ALL SELECT 'l_extendedprice', corr(l_extendedprice, y) FROM (SELECT *, (l_returnflag = 'R')::INT AS y FROM lineitem)
-) ORDER BY abs_correlation DESC, feature LIMIT 3
+)
 """)
 def corr_with_target(t: Tables):
     rows = t.lineitem.select(*_NUMERIC, num.flag(F.col("l_returnflag") == "R").alias("y"))
-    return stats.correlation_with(rows, "y", 3).withColumn("abs_correlation", r6("abs_correlation"))
+    return stats.correlation_with(rows, "y", len(_NUMERIC)).withColumn("abs_correlation", r6("abs_correlation"))
 
 
 # ---- time series

@@ -57,6 +57,10 @@ def to_whole(text: Column) -> Column:
 _FIXED_PARTS = ["yyyy", "MM", "dd", "HH", "mm", "ss"]
 
 
+# Digit shape of a moment with a fraction of a second, a zone, or both.
+_FINE_SHAPE = r"^0000-00-00[T ]00:00:00(\.0{1,9}|(\.0{1,9})? ?(Z|[+-]00(:?00)?))$"
+
+
 def _shape(layout: str) -> str | None:
     """The layout with a 0 for every digit, or None when its width can vary."""
     shape = layout
@@ -68,13 +72,15 @@ def _shape(layout: str) -> str | None:
 
 def to_timestamp_any(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """The first layout that fits. A text is only parsed by layouts of its own digit shape, because
-    a failing parse costs far more than comparing shapes."""
+    a failing parse costs far more than comparing shapes. Moments with a fraction of up to nine digits (cut to
+    microseconds) or a zone are read whatever the layouts; without a zone they are in the session's."""
     shape = F.translate(text, "123456789", "000000000")
     tries = []
     for layout in formats:
         parsed = F.try_to_timestamp(text, F.lit(layout))
         fixed = _shape(layout)
         tries.append(F.when(shape == fixed, parsed) if fixed else parsed)
+    tries.append(F.when(shape.rlike(_FINE_SHAPE), text.try_cast("timestamp")))
     return F.coalesce(*tries)
 
 

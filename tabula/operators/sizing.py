@@ -1,13 +1,12 @@
 """Building blocks for plans whose lookup or group size is only known at run time.
 
-Nothing here assumes that a group fits one task. A lookup is broadcast only after its rows were
-counted; running totals leave the single-window form once the input has too many distinct values.
+Nothing here assumes that a group fits one task. A lookup is broadcast only after its bytes were
+measured; running totals leave the single-window form once the input has too many distinct values.
 """
 
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -15,8 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Rows of an aggregated lookup that are still shipped to every executor.
-BROADCAST_ROWS = 200_000
+# Bytes of an aggregated lookup, measured in memory, that are still shipped to every executor.
+BROADCAST_BYTES = 16 << 20
 # Distinct cells that one sorted window task may walk through.
 WINDOW_ROWS = 500_000
 # Slices of a sliced running sum; past this, slices grow instead (their sort spills).
@@ -27,11 +26,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tabula-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     context.setCheckpointDir(folder)
 
 
@@ -53,6 +48,12 @@ def counted(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, kept.count()
 
 
+def measured_bytes(kept: DataFrame) -> int:
+    """Bytes of a counted (so cached) table as Spark's own statistics give them."""
+    plan = kept.select("*")._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
+
+
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are all present, as filters a columnar scan can use."""
     for key in keys:
@@ -65,20 +66,20 @@ def attach(
     lookup: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    broadcast_rows: int | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join a per-key aggregate back to the rows it came from.
 
     Replaces a window over raw rows: the aggregate is built with map-side partial sums, so a group
-    holding a third of the table costs one row per task. Small lookups (checked) are broadcast and
+    holding a third of the table costs one row per task. Small lookups (by measured bytes) are broadcast and
     the rows never move. A larger lookup is written first: read back it has no partitioning of its
     own, so both sides are shuffled for the join, which is what lets adaptive execution split the
     partition of a hot (or missing) key over many tasks. A cached lookup would prevent that.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    kept, size = counted(lookup)
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if size <= limit:
+    kept, _ = counted(lookup)
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if measured_bytes(kept) <= limit:
         return rows.join(F.broadcast(kept), keys, how)
     large = stored(kept, "lookup")
     kept.unpersist()

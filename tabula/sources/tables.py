@@ -9,16 +9,15 @@ from pyspark.sql.types import TimestampNTZType
 from tabula.functions.numeric import flag
 
 
-def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str, parts: int | None = None) -> DataFrame:
     """One parquet table; zone-less times become session timestamps (UTC).
 
-    ``spread`` is for heavy row expressions: a table in fewer files than there are task slots is dealt
-    out evenly first. Tables of many files, the normal case on a cluster, are left as they are.
+    ``parts`` deals the rows out evenly first, for heavy row expressions on a table that is a single small
+    file. That is a shuffle of the whole table, so it only happens where the caller asks for it.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if spread and len(df.inputFiles()) < slots:
-        df = df.repartition(slots)
+    if parts:
+        df = df.repartition(parts)
     return df.withColumns({
         f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields
         if isinstance(f.dataType, TimestampNTZType)})

@@ -127,3 +127,10 @@ def test_epochs_out_of_range_are_null(spark):
 
     rows = spark.createDataFrame([(1e300,), (float("nan"),), (-1e15,), (0.0,), (1.7e12,)], "e double")
     assert [r["t"] is None for r in rows.select(epoch_to_timestamp(F.col("e")).alias("t")).collect()] == [True, True, True, False, False]
+
+
+def test_moments_with_fraction_or_zone(spark):
+    rows = [("2024-05-01T12:34:56.789000",), ("2024-05-01 12:34:56.5",), ("2024-05-01T12:34:56Z",),
+            ("2024-05-01T12:34:56.123456789+02:00",), ("2024-13-01T12:34:56Z",), ("2024-05-01T12:34:56.",)]
+    got = values(spark, rows, "t string", F.date_format(c.to_timestamp_any(F.col("t")), "HH:mm:ss.SSSSSS"))
+    assert got == ["12:34:56.789000", "12:34:56.500000", "12:34:56.000000", "10:34:56.123456", None, None]

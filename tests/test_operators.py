@@ -18,7 +18,7 @@ def plan(df):
 @pytest.fixture
 def tiny_limits(monkeypatch):
     """Force the large-input paths: no broadcast, sliced running sums."""
-    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(sizing, "WINDOW_ROWS", 20)
 
 
@@ -74,7 +74,7 @@ def test_attach_broadcasts_only_small_lookups(spark):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = sizing.attach(rows, lookup, "k", broadcast_rows=2)
+        large = sizing.attach(rows, lookup, "k", broadcast_bytes=2)
         assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
     finally:
@@ -170,7 +170,7 @@ def test_histogram_matches_numpy(spark):
 def test_quantiles_match_numpy(spark, monkeypatch, large):
     if large:
         monkeypatch.setattr(sizing, "WINDOW_ROWS", 20)
-        monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     df, rows = skewed(spark)
     points = [0.0, 0.25, 0.5, 0.9, 1.0]
     got = {r["g"]: [r[f"q{i}"] for i in range(5)] for r in stats.quantiles(df, "x", points, ["g"]).collect()}
@@ -309,7 +309,7 @@ def brute_tfidf(docs):
 @pytest.mark.parametrize("large", [False, True])
 def test_tfidf_matches_brute_force(spark, monkeypatch, large):
     if large:
-        monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     df = spark.createDataFrame(DOCS, "d long, t string")
     counts = term_counts(df, "d", "t")
     got = tfidf(counts, "d", document_frequency(counts, "d"), F.lit(len(DOCS)))
@@ -337,7 +337,7 @@ def test_vocabulary_order_and_max_df(spark):
 @pytest.mark.parametrize("digits, large", [(4, False), (1, False), (1, True)])
 def test_split_takes_exact_shares(spark, monkeypatch, digits, large):
     if large:
-        monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
     rows = [(i, 0 if i % 10 else 1) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, y int")
     marked = split.stratified_split(df.repartition(5), "id", "y", 0.3, digits=digits)

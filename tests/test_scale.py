@@ -9,7 +9,7 @@ from tabula.operators import groupwise, sizing
 @pytest.fixture
 def no_small_sides(spark, monkeypatch):
     """Lookups count as large, Spark broadcasts nothing unasked, and partitions count as skewed early."""
-    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 10)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

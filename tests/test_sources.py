@@ -54,10 +54,11 @@ def test_submission_matches_by_id(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 1, 0.9), (2, 0, 0.4), (3, 0, None)]
 
 
-def test_times_without_zone_become_timestamps_and_small_tables_spread(spark):
-    df = tables.read_table(spark, "/root/testdata/sf0.001", "events", spread=True)
+def test_times_without_zone_become_timestamps_and_tables_spread_only_when_asked(spark):
+    df = tables.read_table(spark, "/root/testdata/sf0.001", "events")
     assert dict(df.dtypes)["ts"] == "timestamp"
-    assert "Repartition" in df._jdf.queryExecution().analyzed().toString()
+    assert "Repartition" not in df._jdf.queryExecution().analyzed().toString()
+    assert tables.read_table(spark, "/root/testdata/sf0.001", "events", parts=3).rdd.getNumPartitions() == 3
 
 
 def test_stored_and_pinned_cut_the_plan(spark):
