@@ -255,7 +255,8 @@ def near_duplicates(
 
     texts = usable.select(F.col("doc_id").alias("id"), "text")
     stars = stored(ordered(members.select(F.col("rep").alias("x"), F.col("centre").alias("y"))), "stars")
-    first = _verified(stars, _sets_of(ids_of(stars), texts, width, counted), least)
+    sets = _sets_of(ids_of(stars), texts, width, counted)
+    first = _verified(stars, sets, least)
     roots = stored(components(first, "a", "b"), "roots")
 
     # Buckets that the stars left in pieces: what is outside the main piece meets the other pieces,
@@ -267,18 +268,19 @@ def near_duplicates(
     main = sizes.groupBy("bucket").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", "main")
     open_ = stored(pieces.join(main, "bucket"), "pieces")
-    open_sets = _sets_of(open_.select(F.col("rep").alias("id")).distinct(), texts, width, counted)
-    places = open_.groupBy("rep", "root").agg(
+    open_sets = stored(sets.join(open_.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "open-sets")
+    places = open_.groupBy(F.col("rep").alias("id"), "root").agg(
         F.collect_list("bucket").alias("buckets"), F.max(F.col("root") != F.col("main")).alias("outside"))
-    rare = stored(_rare_elements(open_sets, least).join(places.withColumnRenamed("rep", "id"), "id"), "rare")
+    rare = stored(_rare_elements(open_sets, least).join(places.drop("buckets"), "id"), "rare")
     key = ["element", "low", "high"]
     rare = rare.withColumns({"low": F.least("own", "partner"), "high": F.greatest("own", "partner")})
     met = rare.groupBy(*key).agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select(*key)
     rare = stored(rare.join(met, key, "left_semi"), "rare")
-    x, y = (rare.select(*key, *[F.col(c).alias(f"{side}_{c}") for c in ("id", "own", "partner", "root", "buckets", "outside")]) for side in "xy")
-    second = ordered(x.where("x_outside").join(y, key).where(
-        "x_own = y_partner and x_root != y_root and arrays_overlap(x_buckets, y_buckets)").select(
-        F.col("x_id").alias("x"), F.col("y_id").alias("y")))
+    x, y = (rare.select(*key, *[F.col(c).alias(f"{side}_{c}") for c in ("id", "own", "partner", "root", "outside")]) for side in "xy")
+    met = x.where("x_outside").join(y, key).where("x_own = y_partner and x_root != y_root")
+    second = ordered(met.select(F.col("x_id").alias("x"), F.col("y_id").alias("y")))
+    a, b = (places.select(F.col("id").alias(side), F.col("buckets").alias(f"{side}_buckets")) for side in "ab")
+    second = second.join(a, "a").join(b, "b").where(F.arrays_overlap("a_buckets", "b_buckets")).select("a", "b")
     links = first.unionByName(_verified(second, open_sets, least))
 
     copies = sketch.join(reps.select("copy", "rep"), "copy").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
