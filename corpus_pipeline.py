@@ -21,9 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class; those without an id are in no class and stay."""
-    docs = docs.select(*COLUMNS)
-    first = dart_minhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.where("doc_id is not null").join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    return dart_minhash.first_of_each(docs.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

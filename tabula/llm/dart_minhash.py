@@ -12,25 +12,33 @@ bucket texts are linked to its centre (the text with most copies), not to each o
 verified on whole shingle sets. Where a bucket still falls into several components, the texts outside
 its main component are compared with those of other components, where both have one of the rare elements by which
 similar sets must meet (an exact bound: variants of one text with many edits of their own are not paired). Classes are the components.
+
+Texts are never shuffled. The task that signs them writes them in chunks to the shared folder; later steps send ids to a
+chunk, which is read by one task. A chunk carries the name of the attempt that wrote it, and so do the rows that point to it.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabula.llm.components import components
-from tabula.llm.storage import lean_memory, small_batches, stored
+from tabula.llm.storage import lean_memory, parts_for, read_file, save_file, shared_folder, small_batches, stored
 from tabula.llm.textnum import mix, shingles, words
 
 _U = np.uint64
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+CHUNK_BYTES = 6_000_000
 #: Lower borders and widths of the first rank cells of a region, in units of 1 / its weight span.
 _CELLS = [(0.0, 0.25), (0.25, 0.25), (0.5, 0.5)]
 _TAIL = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 12)]))
@@ -104,51 +112,112 @@ def weighted_shingles(texts: list[str], width: int, counted: bool) -> tuple[np.n
     return (np.concatenate(sets) if sets else np.empty(0, _U)), (np.concatenate(weights) if weights else np.empty(0)), ends
 
 
-def _sketch(docs: DataFrame, width: int, counted: bool, bands: int, rows: int) -> DataFrame:
-    """doc_id, copy (hash of the word sequence) and band keys of every text with a word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for some in range(0, len(ids), 250):
-                part = texts[some: some + 250]
-                hashes, borders = words(part)
-                full = np.flatnonzero(np.diff(borders))
-                if not len(full):
-                    continue
-                copies = []
-                for i in full:
-                    h = hashes[borders[i]: borders[i + 1]]
-                    at = np.arange(1, len(h) + 1, dtype=_U)
-                    copies.append((int(np.sum(mix(h + at * _U(0xC2B2AE3D27D4EB4F)))), int(np.sum(mix(h ^ (at * _U(0x9E3779B97F4A7C15)))))))
-                element, weight, ends = weighted_shingles([part[i] for i in full], width, counted)
-                table = signatures(element, weight, ends, bands * rows).reshape(len(full), bands, rows)
-                key = np.zeros((len(full), bands), _U)
-                for j in range(rows):
-                    key = mix(key * _U(0x9E3779B97F4A7C15) + table[:, :, j])
-                key = mix(key + np.arange(1, bands + 1, dtype=_U) * _U(0xD1B54A32D192ED03))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([ids[some + i] for i in full], pa.int64()),
-                    pa.array([f"{a:016x}{b:016x}" for a, b in copies], pa.string()),
-                    pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))], names=["doc_id", "copy", "bands"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, copy string, bands array<long>")
-
-
-def _sets(docs: DataFrame, width: int, counted: bool) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for some in range(0, len(texts), 250):
-                element, weight, ends = weighted_shingles(texts[some: some + 250], width, counted)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(some, 250),
-                    pa.array([element[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-                    pa.array([weight[a:b].astype(np.float32).tobytes() if counted else b"" for a, b in zip(ends[:-1], ends[1:])], pa.binary())],
-                    names=["id", "elements", "weights"])
+def _signed(texts: list[str], width: int, counted: bool, bands: int, rows: int) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Places of the texts with a word, the hashes of their word sequences, and their band keys."""
+    hashes, borders = words(texts)
+    full = np.flatnonzero(np.diff(borders))
+    copies = []
+    for i in full:
+        h = hashes[borders[i]: borders[i + 1]]
+        at = np.arange(1, len(h) + 1, dtype=_U)
+        one, other = np.sum(mix(h + at * _U(0xC2B2AE3D27D4EB4F))), np.sum(mix(h ^ (at * _U(0x9E3779B97F4A7C15))))
+        copies.append(f"{int(one):016x}{int(other):016x}")
+    key = np.zeros((len(full), bands), _U)
+    if len(full):
+        element, weight, ends = weighted_shingles([texts[i] for i in full], width, counted)
+        table = signatures(element, weight, ends, bands * rows).reshape(len(full), bands, rows)
+        for j in range(rows):
+            key = mix(key * _U(0x9E3779B97F4A7C15) + table[:, :, j])
+        key = mix(key + np.arange(1, bands + 1, dtype=_U) * _U(0xD1B54A32D192ED03))
+    return full, copies, key
+
+
+class _Corpus:
+    """Rows in chunks in the shared folder, and the table that points to them.
+
+    ``sketch`` has a row for every row of ``docs``: doc_id, chunk, and where the text has a word copy (hash of the
+    word sequence) and bands.
+    """
 
-    return docs.mapInArrow(run, "id long, elements binary, weights binary")
+    def __init__(self, docs: DataFrame, carry: list[str], width: int, counted: bool, bands: int, rows: int):
+        spark = docs.sparkSession
+        folder = shared_folder(spark, "texts")
+        own = [] if "text" in carry else [docs["text"].alias("__text")]
+        text = carry.index("text") if "text" in carry else len(carry) + 1
+        given = docs.select(*[docs[c] for c in carry], docs["doc_id"].cast("long").alias("__id"), *own)
+        self.spark, self.folder, self.text, self.carry, self.width, self.counted = spark, folder, text, carry, width, counted
+        self.schema = docs.select(*[docs[c] for c in carry]).schema
+        size = len(carry)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lean_memory()
+            task, number, held, filled = TaskContext.get(), 0, [], 0
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                name, table, sink = f"{task.partitionId()}-{number}-{task.taskAttemptId()}", pa.Table.from_batches(held), io.BytesIO()
+                pq.write_table(table, sink, compression="zstd")
+                save_file(folder, name, sink.getvalue())
+                for part in held:
+                    n = part.num_rows
+                    full, copies, key = _signed([t or "" for t in part.column(text).to_pylist()], width, counted, bands, rows)
+                    copy, band = [None] * n, [None] * n
+                    for i, c, k in zip(full.tolist(), copies, key.view(np.int64)):
+                        copy[i], band[i] = c, k
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(size), pa.array([name] * n, pa.string()), pa.array(copy, pa.string()),
+                        pa.array(band, pa.list_(pa.int64()))], names=["doc_id", "chunk", "copy", "bands"])
+
+            for batch in batches:
+                for some in range(0, batch.num_rows, 100):
+                    held.append(batch.slice(some, 100))
+                    filled += pc.sum(pc.binary_length(held[-1].column(text))).as_py() or 0
+                    if filled >= CHUNK_BYTES:
+                        yield from flush()
+                        number, held, filled = number + 1, [], 0
+            if held:
+                yield from flush()
+
+        self.sketch = stored(given.mapInArrow(run, "doc_id long, chunk string, copy string, bands array<long>"), "sketches")
+        self.parts = parts_for(spark, self.sketch.select("chunk").distinct().count(), 4)
+
+    def _sent(self, ids: DataFrame) -> DataFrame:
+        """chunk, id for every row whose doc_id is one of ``ids``."""
+        return self.sketch.select(F.col("doc_id").alias("id"), "chunk").join(ids, "id", "left_semi").distinct()
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """Shingle sets (id, elements, weights) of the texts named by ``ids``, written once."""
+        folder, text, size, width, counted = self.folder, self.text, len(self.carry), self.width, self.counted
+
+        def run(key: tuple, sent: pa.Table) -> pa.Table:
+            lean_memory()
+            table = pq.read_table(io.BytesIO(read_file(folder, key[0].as_py())))
+            table = table.filter(pc.and_(pc.is_in(table.column(size), sent["id"].combine_chunks()), pc.is_valid(table.column(text))))
+            parts = [pa.table({"id": pa.array([], pa.int64()), "elements": pa.array([], pa.binary()), "weights": pa.array([], pa.binary())})]
+            for some in range(0, table.num_rows, 250):
+                part = table.slice(some, 250)
+                element, weight, ends = weighted_shingles(part.column(text).to_pylist(), width, counted)
+                parts.append(pa.table({
+                    "id": part.column(size),
+                    "elements": pa.array([element[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                    "weights": pa.array([weight[a:b].astype(np.float32).tobytes() if counted else b"" for a, b in zip(ends[:-1], ends[1:])], pa.binary())}))
+            return pa.concat_tables(parts)
+
+        sent = self._sent(ids).repartition(self.parts, "chunk")
+        return stored(sent.groupBy("chunk").applyInArrow(run, "id long, elements binary, weights binary"), "sets")
+
+    def without(self, ids: DataFrame) -> DataFrame:
+        """The carried columns of all rows but those whose doc_id is one of ``ids``."""
+        folder, size, carry = self.folder, len(self.carry), self.carry
+
+        def run(key: tuple, sent: pa.Table) -> pa.Table:
+            lean_memory()
+            table = pq.read_table(io.BytesIO(read_file(folder, key[0].as_py())))
+            gone = pc.is_in(table.column(size), sent["id"].combine_chunks().drop_null())
+            return table.filter(pc.invert(gone)).select(list(range(size))).rename_columns(carry)
+
+        every = self.sketch.select(F.lit(None).cast("long").alias("id"), "chunk").distinct()
+        sent = self._sent(ids).unionByName(every).repartition(self.parts, "chunk")
+        return sent.groupBy("chunk").applyInArrow(run, self.schema)
 
 
 def _similarity(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
@@ -200,11 +269,6 @@ def _rare_elements(sets: DataFrame, least: float) -> DataFrame:
         F.explode(F.sequence(step(low * (1 - 1e-9)), step(F.greatest(low, high) * (1 + 1e-9)))).alias("partner"))
 
 
-def _sets_of(ids: DataFrame, texts: DataFrame, width: int, counted: bool) -> DataFrame:
-    """Shingle sets of the texts named by ``ids``, written once."""
-    return stored(_sets(texts.join(ids, "id", "left_semi").select("id", "text"), width, counted), "sets")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough."""
     both = (
@@ -234,9 +298,29 @@ def near_duplicates(
     texts of all of them. Other columns are ignored.
     """
     small_batches(docs.sparkSession, 500)
-    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    usable = rows_in.where("doc_id is not null and text is not null")
-    sketch = stored(_sketch(usable, width, counted, bands, rows), "sketches")
+    corpus = _Corpus(docs, [], width, counted, bands, rows)
+    classes = _classes(corpus, least)
+    sized = classes.join(classes.groupBy("root").agg(F.count(F.lit(1)).alias("n_members")), "root")
+    return (
+        corpus.sketch.select("doc_id").join(sized.select(F.col("node").alias("doc_id"), "root", "n_members"), "doc_id", "left")
+        .select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("n_members", F.lit(1)).cast("long").alias("n_members")))
+
+
+def first_of_each(
+    docs: DataFrame, width: int = WIDTH, least: float = SIMILARITY, counted: bool = False, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose doc_id is the smallest of its class; see :func:`near_duplicates`.
+
+    Rows with a null doc_id are in no class and stay; so do all rows of a doc_id that stays.
+    """
+    small_batches(docs.sparkSession, 500)
+    corpus = _Corpus(docs, docs.columns, width, counted, bands, rows)
+    return corpus.without(_classes(corpus, least).where("node != root").select(F.col("node").alias("id")))
+
+
+def _classes(corpus: _Corpus, least: float) -> DataFrame:
+    """node, root of every document that has a copy or a similar one, itself included."""
+    sketch = corpus.sketch.where("doc_id is not null and copy is not null")
     reps = stored(
         sketch.groupBy("copy").agg(
             F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "copies")
@@ -253,9 +337,8 @@ def near_duplicates(
     def ids_of(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
 
-    texts = usable.select(F.col("doc_id").alias("id"), "text")
     stars = stored(ordered(members.select(F.col("rep").alias("x"), F.col("centre").alias("y"))), "stars")
-    sets = _sets_of(ids_of(stars), texts, width, counted)
+    sets = corpus.sets(ids_of(stars))
     first = _verified(stars, sets, least)
     roots = stored(components(first, "a", "b"), "roots")
 
@@ -284,8 +367,4 @@ def near_duplicates(
     links = first.unionByName(_verified(second, open_sets, least))
 
     copies = sketch.join(reps.select("copy", "rep"), "copy").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
-    classes = stored(components(links.unionByName(copies), "a", "b"), "classes")
-    sized = classes.join(classes.groupBy("root").agg(F.count(F.lit(1)).alias("n_members")), "root")
-    return (
-        rows_in.select("doc_id").join(sized.select(F.col("node").alias("doc_id"), "root", "n_members"), "doc_id", "left")
-        .select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("n_members", F.lit(1)).cast("long").alias("n_members")))
+    return stored(components(links.unionByName(copies), "a", "b"), "classes")

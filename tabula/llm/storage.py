@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +22,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_file(folder: str, name: str, data: bytes) -> None:
+    """In a task: write under the attempt's name, then rename; readers see whole files, whoever wrote them last."""
+    store, path = pafs.FileSystem.from_uri(folder)
+    store.create_dir(path, recursive=True)
+    own = f"{path}/.{name}-{TaskContext.get().taskAttemptId()}"
+    with store.open_output_stream(own) as out:
+        out.write(data)
+    store.move(own, f"{path}/{name}")
+
+
+def read_file(folder: str, name: str) -> bytes:
+    store, path = pafs.FileSystem.from_uri(folder)
+    with store.open_input_stream(f"{path}/{name}") as f:
+        return f.read()
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int, least: int | None = None) -> int:
     """Partition count for so many rows; at least the session's shuffle partitions."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions")) if least is None else least

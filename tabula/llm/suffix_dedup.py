@@ -29,13 +29,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.llm.induced_sorting import common_prefixes, suffix_order
-from tabula.llm.storage import lean_memory, parts_for, shared_folder, small_batches
+from tabula.llm.storage import lean_memory, parts_for, read_file, save_file, shared_folder, small_batches
 from tabula.llm.textnum import mix, powers
 
 _U = np.uint64
@@ -50,22 +49,6 @@ _BASE = _U(0x5851F42D4C957F2D)
 _INVERSE = _U(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 
 
-def _save(folder: str, name: str, data: bytes) -> None:
-    """Write under the attempt's name, then rename: readers see whole files, whoever wrote them last."""
-    store, path = pafs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    own = f"{path}/.{name}-{TaskContext.get().taskAttemptId()}"
-    with store.open_output_stream(own) as out:
-        out.write(data)
-    store.move(own, f"{path}/{name}")
-
-
-def _read(folder: str, name: str) -> bytes:
-    store, path = pafs.FileSystem.from_uri(folder)
-    with store.open_input_stream(f"{path}/{name}") as f:
-        return f.read()
-
-
 def _pack(values: np.ndarray) -> bytes:
     """Values below 2**40 in five bytes each."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
@@ -229,7 +212,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             table = pa.Table.from_batches(held).combine_chunks()
             sink = io.BytesIO()
             pq.write_table(table, sink, compression="zstd")
-            _save(folder, f"chunk-{chunk}", sink.getvalue())
+            save_file(folder, f"chunk-{chunk}", sink.getvalue())
             yield from _keys(_Chunk(table, width), chunk).to_batches()
             number, held, size = number + 1, [], 0
 
@@ -303,7 +286,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     def stretches(key: tuple, table: pa.Table) -> pa.Table:
         lean_memory()
         name, rows = key[0].as_py(), table.to_pylist()
-        chunk = _Chunk(pq.read_table(io.BytesIO(_read(folder, f"chunk-{name}"))), width)
+        chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
         copies = np.zeros(len(chunk.texts), bool)
         keys, heat = [np.empty(0, _U)], [np.empty(0, bool)]
         for r in rows:
@@ -341,8 +324,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
                 found = seen[text] = len(firsts)
                 firsts.append(j)
             number[j] = found
-        _save(folder, f"runs-{name}", np.stack([doc, start, many, number]).astype("<i8").tobytes())
-        _save(folder, f"copies-{name}", np.packbits(copies).tobytes())
+        save_file(folder, f"runs-{name}", np.stack([doc, start, many, number]).astype("<i8").tobytes())
+        save_file(folder, f"copies-{name}", np.packbits(copies).tobytes())
         firsts = np.asarray(firsts, np.int64)
         stretch = list(seen)
         key_of = anchor[firsts] if len(firsts) else np.empty(0, _U)
@@ -416,9 +399,9 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
 
     def apply(key: tuple, table: pa.Table) -> pa.Table:
         name = key[0].as_py()
-        chunk = _Chunk(pq.read_table(io.BytesIO(_read(folder, f"chunk-{name}"))), width)
-        doc, start, many, number = np.frombuffer(_read(folder, f"runs-{name}"), "<i8").reshape(4, -1)
-        copies = np.unpackbits(np.frombuffer(_read(folder, f"copies-{name}"), np.uint8))[: len(chunk.texts)].astype(bool)
+        chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
+        doc, start, many, number = np.frombuffer(read_file(folder, f"runs-{name}"), "<i8").reshape(4, -1)
+        copies = np.unpackbits(np.frombuffer(read_file(folder, f"copies-{name}"), np.uint8))[: len(chunk.texts)].astype(bool)
         masks = np.zeros(int(number.max()) + 1 if len(number) else 0, np.int64)
         for r in table.to_pylist():
             if r["kind"] == 4:
