@@ -8,6 +8,20 @@ from tabula.operators.sizing import stored
 from tabula.plans import reports
 
 
+# Columns that a page reads; only these are written before its sections scan them.
+_OVERVIEW = {
+    "pulses": ["Created"], "vulnerabilities": ["CVE_Year", "dateAdded"], "domains": ["Threat_Severity"], "ips": ["Threat_Severity"]}
+_INDICATORS = {
+    "pulses": ["Malware_Families_Clean", "Attack_IDs_Clean", "Industries_Clean"],
+    "vulnerabilities": ["knownRansomwareCampaignUse", "dateAdded", "dueDate"],
+    "domains": ["Threat_Severity"], "ips": ["Threat_Severity", "TOR_Node"]}
+_VULNERABILITIES = ["cveID", "CVE_Year", "knownRansomwareCampaignUse", "vendorProject", "cwes_list", "dateAdded", "dueDate"]
+
+
+def _stored_columns(t: Tables, columns: dict[str, list[str]]):
+    return [stored(getattr(t, name)().select(*own), name) for name, own in columns.items()]
+
+
 def _rounded(df):
     return df.withColumn("value", r6("value"))
 
@@ -74,8 +88,7 @@ FROM (VALUES ('Low'), ('Medium'), ('High')) AS v(s)"""
     _part("monthly pulses", _monthly("pulses", "Created"), "period"),
     _part("monthly vulnerabilities", _monthly("vulnerabilities", "dateAdded"), "period")))
 def report_overview(t: Tables):
-    tables = [stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
-    return _rounded(reports.as_long(reports.overview(*tables)))
+    return _rounded(reports.as_long(reports.overview(*_stored_columns(t, _OVERVIEW))))
 
 
 @query("report_pulses", _union(
@@ -105,7 +118,7 @@ def report_pulses(t: Tables):
     _one("overdue", "rows", f"SELECT count(*) FROM {_WINDOW} WHERE days > 14"),
     _one("overdue", "share", f"SELECT count(*) FILTER (days > 14) * 100.0 / count(*) FROM {_WINDOW}")))
 def report_vulnerabilities(t: Tables):
-    table = stored(t.vulnerabilities(), "vulnerabilities")
+    table = stored(t.vulnerabilities().select(*_VULNERABILITIES), "vulnerabilities")
     return _rounded(reports.as_long(reports.vulnerability_page(table)))
 
 
@@ -152,18 +165,17 @@ def _first(column: str) -> str:
 
 
 @query("kpi_matrix", f"""
-SELECT 'Total Records Analyzed' AS kpi, CAST((SELECT sum(n)::BIGINT FROM ({_SIZES})) AS VARCHAR) AS value
-UNION ALL SELECT 'Vulnerabilities with Known Ransomware Use',
+SELECT 'rows_total' AS kpi, CAST((SELECT sum(n)::BIGINT FROM ({_SIZES})) AS VARCHAR) AS value
+UNION ALL SELECT 'ransomware_known',
   (SELECT count(*) FILTER (knownRansomwareCampaignUse) || ' (' || format('{{:.1f}}', count(*) FILTER (knownRansomwareCampaignUse) * 100.0 / count(*)) || '%)' FROM vulnerabilities)
-UNION ALL SELECT 'Top Malware Family', ({_first("Malware_Families_Clean")})
-UNION ALL SELECT 'Top Technique', ({_first("Attack_IDs_Clean")})
-UNION ALL SELECT 'Top Targeted Industry', ({_first("Industries_Clean")})
-UNION ALL SELECT 'Median Patch Window',
+UNION ALL SELECT 'first_family', ({_first("Malware_Families_Clean")})
+UNION ALL SELECT 'first_technique', ({_first("Attack_IDs_Clean")})
+UNION ALL SELECT 'first_industry', ({_first("Industries_Clean")})
+UNION ALL SELECT 'days_to_fix_median',
   (SELECT format('{{:.0f}}', median(date_diff('day', dateAdded, dueDate))) || ' days' FROM vulnerabilities)
-UNION ALL SELECT 'High/Critical Domains', CAST((SELECT count(*) FROM domains WHERE Threat_Severity IN ('High', 'Critical')) AS VARCHAR)
-UNION ALL SELECT 'High/Critical IPs', CAST((SELECT count(*) FROM ips WHERE Threat_Severity IN ('High', 'Critical')) AS VARCHAR)
-UNION ALL SELECT 'TOR Exit Nodes Detected', CAST((SELECT count(*) FROM ips WHERE TOR_Node) AS VARCHAR)
+UNION ALL SELECT 'domains_severe', CAST((SELECT count(*) FROM domains WHERE Threat_Severity IN ('High', 'Critical')) AS VARCHAR)
+UNION ALL SELECT 'ips_severe', CAST((SELECT count(*) FROM ips WHERE Threat_Severity IN ('High', 'Critical')) AS VARCHAR)
+UNION ALL SELECT 'ips_tor', CAST((SELECT count(*) FROM ips WHERE TOR_Node) AS VARCHAR)
 """)
 def kpi_matrix(t: Tables):
-    tables = [stored(getattr(t, n)(), n) for n in ("pulses", "vulnerabilities", "domains", "ips")]
-    return reports.kpi_matrix(*tables)
+    return reports.kpi_matrix(*_stored_columns(t, _INDICATORS))

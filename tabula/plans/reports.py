@@ -175,20 +175,20 @@ def kpi_matrix(pulses: DataFrame, vulnerabilities: DataFrame, domains: DataFrame
     share = F.format_string("%.1f", percent(F.col("n"), F.col("all")))
     severe = F.count_if(F.col("Threat_Severity").isin("High", "Critical")).alias("n")
     parts = [
-        kpi("Total Records Analyzed", sizes.agg(F.sum("n").alias("n")), F.col("n")),
-        kpi("Vulnerabilities with Known Ransomware Use", known,
+        kpi("rows_total", sizes.agg(F.sum("n").alias("n")), F.col("n")),
+        kpi("ransomware_known", known,
             F.concat(F.col("n").cast("string"), F.lit(" ("), share, F.lit("%)"))),
-        top("Top Malware Family", "Malware_Families_Clean"),
-        top("Top Technique", "Attack_IDs_Clean"),
-        top("Top Targeted Industry", "Industries_Clean"),
-        kpi("Median Patch Window", stats.median(response_days(vulnerabilities), "days"),
+        top("first_family", "Malware_Families_Clean"),
+        top("first_technique", "Attack_IDs_Clean"),
+        top("first_industry", "Industries_Clean"),
+        kpi("days_to_fix_median", stats.median(response_days(vulnerabilities), "days"),
             F.concat(F.format_string("%.0f", "median"), F.lit(" days"))),
-        kpi("High/Critical Domains", domains.agg(severe), F.col("n")),
-        kpi("High/Critical IPs", ips.agg(severe), F.col("n")),
-        kpi("TOR Exit Nodes Detected", ips.agg(F.count_if("TOR_Node").alias("n")), F.col("n")),
+        kpi("domains_severe", domains.agg(severe), F.col("n")),
+        kpi("ips_severe", ips.agg(severe), F.col("n")),
+        kpi("ips_tor", ips.agg(F.count_if("TOR_Node").alias("n")), F.col("n")),
     ]
     if model_scores is not None:
         best = model_scores.orderBy(F.col("f1_macro").desc_nulls_last(), "model").limit(1)
-        parts.append(kpi("Best Ransomware Model F1", best, F.concat(
+        parts.append(kpi("ransomware_model_f1", best, F.concat(
             F.format_string("%.2f", "f1_macro"), F.lit(" ("), "model", F.lit(")"))))
     return reduce(DataFrame.unionByName, parts)

@@ -159,6 +159,6 @@ def test_kpis_are_computed(spark):
     scores = spark.createDataFrame([("A", 0.5), ("B", 0.671)], "model string, f1_macro double")
     got = {r["kpi"]: r["value"] for r in reports.kpi_matrix(
         t.pulses(), t.vulnerabilities(), t.domains(), t.ips(), scores).collect()}
-    assert got["Best Ransomware Model F1"] == "0.67 (B)"
+    assert got["ransomware_model_f1"] == "0.67 (B)"
     total = sum(x.count() for x in (t.pulses(), t.vulnerabilities(), t.domains(), t.ips()))
-    assert got["Total Records Analyzed"] == str(total)
+    assert got["rows_total"] == str(total)
