@@ -167,6 +167,11 @@ def test_near_duplicates_match_brute_force(spark, odd):
     assert len(got) == docs.count()
     assert all(r["class_id"] == want.get(r["doc_id"]) for r in got)
     assert dart_minhash.near_duplicates(odd.limit(0)).count() == 0
+    kept, alone = dart_minhash.first_of_each(odd), jaccard_classes(pairs_of(odd))
+    assert kept.columns == odd.columns
+    assert rows(kept, *odd.columns) == sorted(
+        (tuple(r) for r in odd.collect() if r["doc_id"] is None or alone[r["doc_id"]] == r["doc_id"]), key=repr)
+    assert dart_minhash.first_of_each(odd.limit(0)).count() == 0
 
 
 def test_dart_signatures_estimate_weighted_similarity():
