@@ -16,9 +16,6 @@ from tabula.plans import tasks
 from tabula.plans.ensemble import Ensemble, fit_ensemble, lap_vectors
 from tabula.plans.laps import ODD_YEAR, lap_features, split_back, union_with_marker
 
-# Boosting rounds of the registered fits; the functions default to the full numbers.
-ROUNDS, TREES = 10, 20
-
 
 def _lap_vectors(t: Tables) -> tuple[DataFrame, list[str]]:
     return lap_vectors(lap_features(laps_of(t)))
@@ -40,24 +37,24 @@ def lr_fit(t: Tables):
 
 @query("rf_fit")
 def rf_fit(t: Tables):
-    return _lap_task(t, lambda train: {"Random Forest": models.forest(TREES, 8)})
+    return _lap_task(t, lambda train: {"Random Forest": models.forest()})
 
 
 @query("gbt_fit")
 def gbt_fit(t: Tables):
-    return _lap_task(t, lambda train: {"Gradient Boosting": models.boosted(ROUNDS, 3)})
+    return _lap_task(t, lambda train: {"Gradient Boosting": models.boosted()})
 
 
 @query("gbt_variants")
 def gbt_variants(t: Tables):
-    return _lap_task(t, lambda train: models.boosting_variants(ROUNDS, 5))
+    return _lap_task(t, lambda train: models.boosting_variants())
 
 
 @query("model_compare")
 def model_compare(t: Tables):
     return _lap_task(t, lambda train: {
-        "Logistic Regression": models.logistic(train.count()), "Random Forest": models.forest(TREES, 8),
-        "Gradient Boosting": models.boosted(ROUNDS, 3)})
+        "Logistic Regression": models.logistic(train.count()), "Random Forest": models.forest(),
+        "Gradient Boosting": models.boosted()})
 
 
 def _weighted_laps(t: Tables) -> tuple[DataFrame, list[str]]:
@@ -71,15 +68,14 @@ def oof_predictions(t: Tables):
     rows, _ = _weighted_laps(t)
     oof, _, _ = models.out_of_fold(
         rows, rows.select("id", "features"),
-        lambda mark: {"booster": models.boosted(ROUNDS, 4, 0.1, weighted=True, validation=mark)},
-        "id", folds=5, early_stop=True)
+        lambda mark: {"booster": models.boosting_variants(validation=mark)["leafwise"]}, "id", early_stop=True)
     return oof
 
 
 @query("feature_importance")
 def feature_importance(t: Tables):
     rows, names = _weighted_laps(t)
-    fitted = models.forest(TREES, 8).fit(rows)
+    fitted = models.forest().fit(rows)
     return models.top_importances(models.importances(t.spark, fitted, names), 20)
 
 
@@ -90,7 +86,7 @@ def _ensemble(t: Tables) -> Ensemble:
     rows = stored(lap_features(union_with_marker(train, test)), "lap-features")
     train_features, test_features = split_back(rows)
     return fit_ensemble(train_features, test_features,
-                        lambda mark: models.boosting_variants(ROUNDS, 4, 0.1, validation=mark), folds=3)
+                        lambda mark: models.boosting_variants(validation=mark))
 
 
 @query("stacking")
@@ -108,22 +104,22 @@ def ensemble_submission(t: Tables):
 
 @query("task_ransomware")
 def task_ransomware(t: Tables):
-    return tasks.ransomware(stored(t.vulnerabilities(), "vulnerabilities"), STOP_WORDS, rounds=ROUNDS, trees=TREES).comparison
+    return tasks.ransomware(stored(t.vulnerabilities(), "vulnerabilities"), STOP_WORDS).comparison
 
 
 @query("task_industry")
 def task_industry(t: Tables):
-    return tasks.industry(stored(t.pulses(), "pulses"), STOP_WORDS, rounds=3, trees=TREES).comparison
+    return tasks.industry(stored(t.pulses(), "pulses"), STOP_WORDS).comparison
 
 
 @query("task_domain_severity")
 def task_domain_severity(t: Tables):
-    return tasks.domain_severity(stored(t.domains(), "domains"), rounds=ROUNDS, trees=TREES).comparison
+    return tasks.domain_severity(stored(t.domains(), "domains")).comparison
 
 
 @query("task_ip_severity")
 def task_ip_severity(t: Tables):
-    result = tasks.ip_severity(stored(t.ips(), "ips"), rounds=ROUNDS, trees=TREES)
+    result = tasks.ip_severity(stored(t.ips(), "ips"))
     return result.comparison.unionByName(tasks.summary([result]).select(
         F.concat(F.lit("best: "), "best_model").alias("model"), F.lit(None).cast("double").alias("accuracy"),
         F.col("score").alias("f1_macro"), F.lit(None).cast("double").alias("f1_weighted"),

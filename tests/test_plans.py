@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tabula.catalog import modelling
 from tabula.catalog.registry import Tables
 from tabula.operators import models
 from tabula.operators.models import LABEL
@@ -162,3 +163,47 @@ def test_kpis_are_computed(spark):
     assert got["ransomware_model_f1"] == "0.67 (B)"
     total = sum(x.count() for x in (t.pulses(), t.vulnerabilities(), t.domains(), t.ips()))
     assert got["rows_total"] == str(total)
+
+
+def test_registered_models_take_the_full_numbers(spark, monkeypatch):
+    seen = {}
+
+    class Reached(Exception):
+        pass
+
+    def reach(*args, **named):
+        seen["args"], seen["named"] = args, named
+        raise Reached
+
+    def size(m):
+        return m.getNumTrees() if m.hasParam("numTrees") else m.getMaxIter(), m.getMaxDepth()
+
+    monkeypatch.setattr(modelling, "_lap_task", lambda t, make: make(spark.range(5)))
+    assert size(modelling.rf_fit(None)["Random Forest"]) == (100, 10)
+    assert size(modelling.gbt_fit(None)["Gradient Boosting"]) == (100, 3)
+    assert {size(m) for m in modelling.gbt_variants(None).values()} == {(2000, 8)}
+    compared = modelling.model_compare(None)
+    assert size(compared["Random Forest"]) == (100, 10) and size(compared["Gradient Boosting"]) == (100, 3)
+
+    monkeypatch.setattr(modelling, "_weighted_laps", lambda t: (spark.range(5).withColumn("features", F.lit(1)), []))
+    monkeypatch.setattr(modelling.models, "out_of_fold", reach)
+    with pytest.raises(Reached):
+        modelling.oof_predictions(None)
+    assert {size(m) for m in seen["args"][2]("_stop").values()} == {(2000, 8)} and seen["named"].get("folds", 5) == 5
+
+    monkeypatch.setattr(modelling, "fit_ensemble", reach)
+    with pytest.raises(Reached):
+        modelling._ensemble(Tables(spark, SMALL))
+    made = seen["args"][2]("_stop")
+    assert len(made) == 3 and {size(m) for m in made.values()} == {(2000, 8)} and "folds" not in seen["named"]
+
+    for name in ("ransomware", "industry", "domain_severity", "ip_severity"):
+        monkeypatch.setattr(modelling.tasks, name, reach)
+        with pytest.raises(Reached):
+            getattr(modelling, f"task_{name}")(Tables(spark, SMALL))
+        assert not {"rounds", "trees"} & set(seen["named"])
+
+    monkeypatch.setattr(modelling.models.RandomForestClassifier, "fit", lambda self, rows: reach(size(self)))
+    with pytest.raises(Reached):
+        modelling.feature_importance(None)
+    assert seen["args"][0] == (100, 10)
