@@ -282,3 +282,28 @@ def test_pipeline_stages(spark, odd, tmp_path):
     assert ids == [1, 7, 7, 8, 9, 10, 11]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), f"file://{tmp_path}").count() == 0
+
+
+NEAR = {"apache-2.0-line", "apache-2.0-notice", "cc-by-4.0-line", "cc-by-nc-4.0-line", "gpl-3.0-line", "gpl-3.0-notice", "mit-line", "mit"}
+
+
+def test_license_marks_tell_near_misses_apart(spark):
+    lines = {
+        "Released under the MIT License.": "mit-line", "Released under an MIT License.": "mit-line", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0-line",
+        "Licensed under the Apache License 2.0.": "apache-2.0-line", "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0-line",
+        "This work is licensed under the GNU General Public License (GPL), version 3.": "gpl-3.0-line"}
+    others = [
+        "Released under the BSD License.", "Released under the MIT-0 License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+        "Licensed under CC BY-NC 3.0.", "This work is licensed under the GNU General Public License, version 2.", "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        license_scan.TEMPLATES["gpl-3.0-notice"].replace("version 3", "version 2"),
+        license_scan.TEMPLATES["gpl-3.0-notice"].replace("GNU General", "GNU Lesser General"),
+        license_scan.TEMPLATES["mit"] + " The Software shall be used for Good, not Evil."]
+    docs = [(i, f"{prose(i, 9)}\n{t}\n{prose(i + 50, 9)}") for i, t in enumerate([*lines, *others])]
+    got = rows(license_scan.licenses(spark.createDataFrame(docs, "doc_id long, text string")), "doc_id", "license")
+    assert [g for g in got if g[1] in NEAR] == [(i, n) for i, n in enumerate(lines.values())]
+    # a near miss in front does not hide the line itself
+    both = [(1, "Released under the BSD License. Released under the MIT License."), (2, "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.")]
+    got = rows(license_scan.licenses(spark.createDataFrame(both, "doc_id long, text string")), "doc_id", "license", "coverage")
+    assert [g for g in got if g[1] in NEAR] == [(1, "mit-line", 1.0), (2, "cc-by-nc-4.0-line", 1.0)]
