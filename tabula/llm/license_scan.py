@@ -3,8 +3,9 @@
 A template and a stretch of text are aligned on the words that are unique in both: the longest
 increasing run of these anchors stands, and the gaps between anchors are aligned in the same way; a gap
 without anchors keeps its common beginning and end. Coverage is the share of template words that
-are aligned. Besides, the words that name a licence (its marks) must be aligned, side by side. A document is looked at where the template's words that occur in it could reach the threshold at
-all, and there around every occurrence of the template's rarest word, in stretches of template size.
+are aligned. Besides, the words that name a licence (its marks) must be aligned, side by side. A document is
+looked at where the template's words that occur in it could reach the threshold at all, and there around every
+occurrence of the template's rarest words, in stretches of template size.
 Row by row: no shuffle, nothing of the documents reaches the driver.
 """
 
@@ -19,60 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabula.llm.license_texts import MARKS, TEMPLATES
 from tabula.llm.storage import lean_memory, small_batches
 from tabula.llm.textnum import NOT_ALNUM, words
 
 COVERAGE = 0.8
-# Licence statements and notices; fixed values.
-TEMPLATES = {
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-notice": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
-        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
-        "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES "
-        "OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
-        "limitations under the License."),
-    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
-        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
-    "isc": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies."),
-    "mit-line": "Released under the MIT License.",
-    "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
-        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
-        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
-        "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
-        "shall be included in all copies or substantial portions of the Software."),
-    "bsd-3-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
-        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
-        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
-        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
-        "derived from this software without specific prior written permission."),
-}
-
-# What each template must have whatever its coverage: phrases whose words are aligned and stand side by side in the text. A
-# phrase after "-" belongs to another licence and must not stand in the stretch or just behind it.
-MARKS = {
-    "apache-2.0-line": ("apache license", "2 0"),
-    "apache-2.0-notice": ("apache license", "2 0"),
-    "cc-by-nc-4.0-line": ("cc by nc 4 0",),
-    "cc-by-4.0-line": ("creative commons attribution 4 0",),
-    "gpl-3.0-line": ("gnu general public license", "version 3"),
-    "gpl-3.0-notice": ("gnu general public license", "version 3"),
-    "isc": ("with or without fee", "-supporting documentation"),
-    "mit-line": ("mit", "-mit 0"),
-    "mit": ("to deal in the software", "-good not evil"),
-    "bsd-3-clause": ("endorse or promote products", "-advertising materials"),
-}
 
 
 def _places(phrase: list[int], text: list[int]) -> list[int]:
@@ -215,17 +167,24 @@ class Scanner:
         return (best[0], -best[1], best[2]) if best else None
 
 
-def licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = COVERAGE,
+def licenses(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, least: float = COVERAGE,
              marks: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """doc_id, license, coverage, first_word, n_words of each template found in each row of ``docs``.
 
     Words are lower-case runs of letters and digits of whole texts. Null and empty texts have no rows; of several
     places the one with the widest coverage, then the first, counts; repeated rows have rows of
-    their own; an empty table gives none. ``marks`` are the phrases without which a template is not found (see MARKS). Columns other than doc_id and text are ignored.
+    their own; an empty table gives none. ``templates`` are texts by name, or a table (license, text and,
+    if wanted, marks); ``marks`` are the phrases without which a template is not found (see MARKS). Columns
+    of ``docs`` other than doc_id and text are ignored.
     """
     small_batches(docs.sparkSession)
     if templates is None:
         templates, marks = TEMPLATES, MARKS if marks is None else marks
+    if isinstance(templates, DataFrame):
+        table = templates.collect()  # licence texts, not documents
+        if "marks" in templates.columns:
+            marks = {r["license"]: r["marks"] or () for r in table} | (marks or {})
+        templates = {r["license"]: r["text"] for r in table}
     templates = dict(templates)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
 

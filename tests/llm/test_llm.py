@@ -307,3 +307,21 @@ def test_license_marks_tell_near_misses_apart(spark):
     both = [(1, "Released under the BSD License. Released under the MIT License."), (2, "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.")]
     got = rows(license_scan.licenses(spark.createDataFrame(both, "doc_id long, text string")), "doc_id", "license", "coverage")
     assert [g for g in got if g[1] in NEAR] == [(1, "mit-line", 1.0), (2, "cc-by-nc-4.0-line", 1.0)]
+
+
+def test_license_texts_are_whole(spark):
+    lines = {"all-rights-reserved": "All rights reserved.", "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+             "mpl-2.0-line": "Licensed under the Mozilla Public License, Version 2.0.", "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0.",
+             "mit-disclaimer": "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of "
+             "merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, "
+             "damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use "
+             "or other dealings in the software."}
+    texts = [*license_scan.TEMPLATES.values(), *lines.values()]
+    names = [*license_scan.TEMPLATES, *lines]
+    docs = spark.createDataFrame([(i, f"{prose(i, 9)}\n{t}\n{prose(i + 99, 9)}") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in license_scan.licenses(docs).select("doc_id", "license", "coverage").collect())
+    inside = [(names.index("apache-2.0-notice"), "apache-2.0-line", 1.0)]  # a statement that is the notice's first sentence
+    assert got == sorted([(i, n, 1.0) for i, n in enumerate(names)] + inside)
+    table = spark.createDataFrame([("rights", "All rights reserved.", ["all rights"]), ("copy", license_scan.TEMPLATES["gpl-copy-notice"], None)],
+                                  "license string, text string, marks array<string>")
+    assert sorted({r["license"] for r in license_scan.licenses(docs, table).collect()}) == ["copy", "rights"]
