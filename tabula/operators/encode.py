@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.operators.freq import top_values, value_counts
@@ -30,6 +33,53 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str) -> D
         for level in levels])
 
 
+@dataclass
+class Levels:
+    """Levels of a category as a table (level, code), where their names stay."""
+    table: DataFrame
+    size: int
+    prefix: str
+
+    def __len__(self) -> int:
+        return self.size
+
+
+def levels(df: DataFrame, column: str, prefix: str) -> Levels:
+    """Coded levels, as many as there are by the largest code."""
+    table = label_codes(df, column, "code").withColumnRenamed(column, "level")
+    top = table.agg(F.max("code")).first()[0]
+    return Levels(table, 0 if top is None else top + 1, prefix)
+
+
+def one_hot_vector(df: DataFrame, column: str, name: str, prefix: str) -> tuple[DataFrame, Levels]:
+    """One 0/1 slot per level in a sparse vector, for any number of levels; a NULL value is all zeros."""
+    found = levels(df, column, prefix)
+    codes = found.table.select(F.col("level").alias(column), F.col("code").alias("_code"))
+    coded = attach(df, codes, column)
+    if not found.size:
+        return coded.withColumn(name, array_to_vector(F.array().cast("array<double>"))).drop("_code"), found
+    # the slot kept for what is no level is the one that is dropped
+    encoder = OneHotEncoder(inputCols=["_code"], outputCols=[name], handleInvalid="keep", dropLast=True).fit(codes)
+    return encoder.transform(coded.fillna({"_code": found.size})).drop("_code"), found
+
+
+def slot_names(spark: SparkSession, names: Sequence[str | Levels]) -> DataFrame:
+    """(slot, name) of every slot of a vector assembled from columns and one-hot vectors in this order."""
+    plain, tables, at = [], [], 0
+    for one in names:
+        if isinstance(one, Levels):
+            tables.append(one.table.select(
+                (F.col("code") + at).cast("long").alias("slot"), F.concat(F.lit(f"{one.prefix}_"), "level").alias("name")))
+            at += one.size
+        else:
+            plain.append((at, one))
+            at += 1
+    named = spark.createDataFrame(plain, "slot long, name string")
+    for table in tables:
+        named = named.unionByName(table)
+    return named
+
+
 def levels_of(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
     """Sorted level names for a one-hot layout; refuses a column that is not a category."""
     found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()

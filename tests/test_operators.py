@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabula.operators import dedup, encode, freq, groupwise, profile, sizing, split, stats, timeline
+from tabula.operators import dedup, encode, freq, groupwise, models, profile, sizing, split, stats, timeline
 from tabula.operators.textfeatures import (
     document_frequency, term_counts, tfidf, tfidf_vectors, vocabulary)
+from tabula.plans import tasks
 
 
 def plan(df):
@@ -273,6 +274,28 @@ def test_levels_refuse_wide_columns(spark):
         encode.levels_of(spark.range(20).select(F.col("id").cast("string").alias("t")), "t", limit=10)
 
 
+def test_one_hot_vector_takes_any_number_of_levels(spark):
+    n = 10_050
+    df = spark.range(n + 1).select("id", F.when(F.col("id") < n, F.format_string("c%06d", "id")).alias("t"))
+    wide, levels = encode.one_hot_vector(df, "t", "v", "p")
+    got = {r["id"]: r["v"] for r in wide.where("id in (0, 7, 10049, 10050)").collect()}
+    assert levels.size == n and {len(v) for v in got.values()} == {n}
+    assert {i: list(v.indices) for i, v in got.items()} == {0: [0], 7: [7], 10_049: [10_049], 10_050: []}
+    names = encode.slot_names(spark, ["x", levels, "y"])
+    assert sorted(tuple(r) for r in names.where("slot in (0, 1, 8, 10050, 10051)").collect()) == [
+        (0, "x"), (1, "p_c000000"), (8, "p_c000007"), (10_050, "p_c010049"), (10_051, "y")]
+    empty, none = encode.one_hot_vector(df.where("t is null"), "t", "v", "p")
+    assert none.size == 0 and len(empty.first()["v"]) == 0
+
+
+def test_severity_features_have_no_level_limit(spark):
+    ips = spark.range(10_020).select(
+        F.col("id").alias("IP"), F.format_string("c%06d", "id").alias("Continent"), F.lit("x").alias("Threat_Label"),
+        F.lit("Low").alias("Threat_Severity"))
+    wide, columns = tasks.ip_block(ips)[:2]
+    assert len(models.assemble(wide, columns[-2:]).first()["features"]) == 10_021
+
+
 def test_standardize_uses_population_std(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "x double, k double")
     got = [tuple(r) for r in encode.standardize(df, ["x", "k"]).select("x_scaled", "k_scaled").collect()]
