@@ -207,3 +207,19 @@ def test_registered_models_take_the_full_numbers(spark, monkeypatch):
     with pytest.raises(Reached):
         modelling.feature_importance(None)
     assert seen["args"][0] == (100, 10)
+
+
+def test_industry_and_ip_tasks_have_a_weighted_booster(spark, monkeypatch):
+    monkeypatch.setattr(tasks, "_run", lambda *args: args[-1])
+    t = Tables(spark, SMALL)
+    for made in (tasks.ip_severity(t.ips()), tasks.industry(t.pulses(), ["the"])):
+        assert made["Weighted Boosting per Class"].getWeightCol() == "weight" and "Boosting per Class" in made
+    assert "Weighted Boosting per Class" not in tasks.domain_severity(t.domains())
+
+
+def test_weighted_booster_follows_the_weights(spark):
+    rows = spark.range(400).select("id", (F.col("id") % 8 == 0).cast("int").alias(LABEL), F.lit(1.0).alias("x"))
+    rows = models.assemble(rows.withColumn("weight", F.when(F.col(LABEL) == 1, 20.0).otherwise(1.0)), ["x"])
+    for weighted, wanted in ((False, 0), (True, 1)):
+        fitted = models.boosted_multiclass(1, 1, weighted=weighted).fit(rows)
+        assert fitted.transform(rows).first()["prediction"] == wanted
