@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +58,16 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
 
 def lean_memory() -> None:
     """In a worker: let Arrow allocate like everything else, so that what a batch used goes back to the system."""
-    import pyarrow as pa
-
     pa.set_memory_pool(pa.system_memory_pool())
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """In a worker: the same rows in slices of at most ``limit`` bytes of a text column; a longer text comes alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+            stop = max(stop, at + 1)
+            yield batch.slice(at, stop - at)
+            at = stop
