@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tabula.functions.cleaning import null_if, parse_list_literal
+from tabula.sources.records import records
 
 _BROKEN = "_corrupt"
 
@@ -17,30 +19,48 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
+_RULES = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+
+
 def _read(spark: SparkSession, path: str, columns: Sequence[str], multiline: bool,
           header: bool) -> DataFrame:
     schema = StructType([*text_schema(columns), StructField(_BROKEN, StringType())])
-    return (spark.read.schema(schema)
-            .option("header", header).option("multiLine", multiline)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _BROKEN)
-            .csv(path))
+    if multiline:
+        parsed = F.from_csv("record", ", ".join(f"`{f.name}` string" for f in schema), {**_RULES, "multiLine": "true"})
+        # as a generator each record is parsed once and whole, whatever columns are asked for
+        return records(spark, path, header).select(F.inline(F.array(parsed)))
+    return spark.read.schema(schema).option("header", header).options(**_RULES).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], multiline: bool = True,
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multiline: bool = True,
              na_tokens: Iterable[str] = (), header: bool = True) -> DataFrame:
     """Read all columns as text. Rows with too many fields are left out (see :func:`overlong_rows`);
-    rows with too few keep NULLs at the end.
+    rows with too few keep NULLs at the end. Without ``columns`` the names are those of the header.
 
-    A file with quoted line breaks cannot be split, so such inputs should come as many files; pass
-    ``multiline=False`` for plain rows and Spark splits every file.
+    Every file is read in splits by many tasks, also where cells hold line breaks
+    (:mod:`tabula.sources.records`). ``multiline=False`` says that they hold none and saves the search for them.
     """
+    columns = header_of(spark, path) if columns is None else columns
     rows = _read(spark, path, columns, multiline, header)
-    good = rows.where(F.col(_BROKEN).isNull() | ~_overlong(len(columns))).drop(_BROKEN)
+    # naming all columns keeps them in the scan: with fewer, Spark neither counts rows nor sees that one is too long
+    named = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0
+    good = rows.where(named & (F.col(_BROKEN).isNull() | ~_overlong(len(columns)))).drop(_BROKEN)
     tokens = list(na_tokens)
     return with_na(good, tokens) if tokens else good
 
 
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """The cells of the first record of the first file; a header holds no line break."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
+    first = lines.where("value != ''").groupBy("file_path").agg(F.first("value").alias("line")).orderBy("file_path").first()
+    if first is None:
+        raise ValueError(f"no header below {path}")
+    bare = re.sub('"[^"]*"', "", first["line"])
+    slots = ", ".join(f"c{i} string" for i in range(bare.count(",") + 1))
+    cells = spark.range(1).select(F.from_csv(F.lit(first["line"]), slots, {k: _RULES[k] for k in ("quote", "escape")}).alias("r")).first()["r"]
+    return [c if c is not None else f"_c{i}" for i, c in enumerate(cells)]
+
+
 def overlong_rows(spark: SparkSession, path: str, columns: Sequence[str],
                   multiline: bool = True, header: bool = True) -> DataFrame:
     """The rows :func:`read_csv` leaves out: first field and raw text."""
