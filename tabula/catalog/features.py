@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 from pyspark.sql.types import DoubleType
 
 from tabula.catalog.registry import Tables, query, r6
@@ -391,6 +392,21 @@ def tfidf_all_terms(t: Tables):
     return textfeatures.tfidf(counts, "doc_id", frequency, documents).withColumn("weight", r6("weight"))
 
 
+@query("tfidf_vectors_sparse", f"""
+WITH vocab AS {_VOCAB}, counts AS (SELECT doc_id, term, count(*) AS c FROM {_TERMS} GROUP BY ALL),
+slots AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS slot FROM vocab),
+raw AS (SELECT doc_id, slot, (1 + ln(c)) * (ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
+  FROM counts JOIN slots ON counts.term = slots.term)
+SELECT doc_id, CAST(slot AS INTEGER) AS slot, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw
+""")
+def tfidf_vectors_sparse(t: Tables):
+    """Slots and weights of the stored sparse vectors."""
+    rows, _ = textfeatures.tfidf_vectors(t.documents.select("doc_id", "text"), "doc_id", "text", 500, "v", STOP_WORDS, max_df=0.8)
+    parts = unwrap_udt(F.col("v"))
+    return rows.select("doc_id", F.explode(F.arrays_zip(parts["indices"].alias("slot"), parts["values"].alias("weight"))).alias("e")).select(
+        "doc_id", F.col("e.slot").alias("slot"), r6(F.col("e.weight")).alias("weight"))
+
+
 # ---- splits and weights
 
 _ORDERED = """(SELECT doc_id, quality, row_number() OVER (PARTITION BY quality

@@ -11,9 +11,9 @@ from tabula.catalog.registry import Tables, query
 from tabula.operators import models
 from tabula.operators.models import LABEL, WEIGHT
 from tabula.operators.sizing import stored
-from tabula.operators.split import balanced_weights, positive_weights, stratified_split
+from tabula.operators.split import balanced_weights, positive_weights, stratified_folds, stratified_split
 from tabula.plans import tasks
-from tabula.plans.ensemble import Ensemble, fit_ensemble, lap_vectors
+from tabula.plans.ensemble import FOLDS, Ensemble, fit_ensemble, lap_vectors
 from tabula.plans.laps import ODD_YEAR, lap_features, split_back, union_with_marker
 
 
@@ -32,7 +32,7 @@ def _lap_task(t: Tables, candidates) -> DataFrame:
 
 @query("lr_fit")
 def lr_fit(t: Tables):
-    return _lap_task(t, lambda train: {"Logistic Regression": models.logistic(train.count())})
+    return _lap_task(t, lambda train: {"Logistic Regression": models.logistic(train.count(), max_iter=2000)})
 
 
 @query("rf_fit")
@@ -47,13 +47,19 @@ def gbt_fit(t: Tables):
 
 @query("gbt_variants")
 def gbt_variants(t: Tables):
-    return _lap_task(t, lambda train: models.boosting_variants())
+    """Three boosters; a fifth of the training rows stops their rounds."""
+    table, _ = _lap_vectors(t)
+    split = stored(stratified_split(table, "id", LABEL, 0.2), "split")
+    train = stratified_folds(balanced_weights(split.where(F.col("is_test") == 0), LABEL, WEIGHT), "id", LABEL, FOLDS)
+    fitted = models.fit_all(stored(train, "stops"), "fold", [models.Fit(b, stop=0) for b in models.boosting_variants().values()])
+    scored = models.score_all(split.where(F.col("is_test") == 1), dict(zip(models.boosting_variants(), fitted)), "id")
+    return models.model_metrics(scored, 2)
 
 
 @query("model_compare")
 def model_compare(t: Tables):
     return _lap_task(t, lambda train: {
-        "Logistic Regression": models.logistic(train.count()), "Random Forest": models.forest(),
+        "Logistic Regression": models.logistic(train.count(), max_iter=2000), "Random Forest": models.forest(),
         "Gradient Boosting": models.boosted()})
 
 

@@ -8,26 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.functions.numeric import row_mean
 from tabula.operators import metrics
-from tabula.operators.sizing import attach, stored
+from tabula.operators.boosting import Booster, BoosterModel, Fit, fit_all
+from tabula.operators.sizing import stored
 from tabula.operators.split import stratified_folds
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 SEED = 42
+#: Fits of the library's own models that run as jobs at the same time.
+CONCURRENT = 4
 
-Candidates = Mapping[str, Estimator]
+Candidates = Mapping[str, Estimator | Booster]
 
 
 # ---- candidates
@@ -63,24 +66,22 @@ def boosted(rounds: int = 100, depth: int = 3, rate: float = 0.1, subsample: flo
     return model
 
 
-def boosted_multiclass(rounds: int = 100, depth: int = 3, rate: float = 0.1,
-                       weighted: bool = False) -> OneVsRest:
-    """One boosted model per class, as boosting itself knows two classes only."""
-    model = OneVsRest(classifier=boosted(rounds, depth, rate, weighted=False), featuresCol=FEATURES,
-                      labelCol=LABEL, parallelism=4)
-    return model.setWeightCol(WEIGHT) if weighted else model
+def boosted_multiclass(classes: int, rounds: int = 100, depth: int = 3, rate: float = 0.1,
+                       weighted: bool = False) -> Booster:
+    """One softmax model for all classes."""
+    return Booster(rounds=rounds, depth=depth, rate=rate, classes=classes, weighted=weighted)
 
 
-def boosting_variants(rounds: int = 2000, depth: int = 8, rate: float = 0.05,
-                      validation: str | None = None) -> dict[str, Estimator]:
-    """Three differently regularised boosters for the ensemble: small leaves forbidden, weak leaf
-    limit, and per-node feature sampling."""
-    shared = dict(rounds=rounds, depth=depth, rate=rate, subsample=0.8, weighted=True,
-                  validation=validation)
+def boosting_variants(rounds: int = 2000, depth: int = 8, rate: float = 0.05, patience: int = 100,
+                      validation: str | None = None) -> dict[str, Booster]:
+    """Three differently regularised boosters for the ensemble: large leaves, leaves of some weight, and a
+    strong penalty on leaves. ``patience`` rounds without a gain on the stopping rows end a fit."""
+    shared = dict(rounds=rounds, depth=depth, rate=rate, row_share=0.8, column_share=0.7, weighted=True,
+                  patience=patience, validation=validation)
     return {
-        "leafwise": boosted(**shared, feature_share="0.7", least_rows=50),
-        "depthwise": boosted(**shared, feature_share="0.7", least_rows=5),
-        "symmetric": boosted(**shared, feature_share="sqrt", least_rows=20),
+        "leafwise": Booster(**shared, l1=0.1, l2=1.0, least_rows=50, least_hessian=1e-3),
+        "depthwise": Booster(**shared, l1=0.1, l2=1.0, least_hessian=5.0),
+        "symmetric": Booster(**shared, l2=3.0, least_hessian=0.0),
     }
 
 
@@ -103,26 +104,46 @@ def feature_names(df: DataFrame, column: str = FEATURES) -> list[str]:
 
 # ---- comparison
 
-def _scored(model: Model, rows: DataFrame, name: str, id_column: str) -> DataFrame:
-    out = model.transform(rows)
-    if isinstance(model, OneVsRestModel):
-        scores = vector_to_array("rawPrediction")
-    else:
-        scores = vector_to_array("probability")
-    return out.select(F.lit(name).alias("model"), id_column, F.col(LABEL).cast("int").alias(LABEL),
-                      F.col("prediction").cast("int").alias("prediction"), scores.alias("scores"))
+def _scored(model: Model | BoosterModel, rows: DataFrame, name: str, id_column: str) -> DataFrame:
+    return model.transform(rows).select(
+        F.lit(name).alias("model"), id_column, F.col(LABEL).cast("int").alias(LABEL),
+        F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability").alias("scores"))
+
+
+def _side_by_side(jobs: Sequence[Callable]) -> list:
+    """Results of independent Spark jobs, several at a time."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPool(min(CONCURRENT, len(jobs))) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.getActiveSession())(lambda job: job()), jobs))
+
+
+def _fit_candidates(train: DataFrame, candidates: Candidates) -> dict:
+    """All candidates on the same rows: boosters in one job, the others as concurrent jobs."""
+    plain = {n: c for n, c in candidates.items() if isinstance(c, Booster) and not c.validation}
+    others = {n: c for n, c in candidates.items() if n not in plain}
+    jobs = [lambda c=c: c.fit(train) for c in others.values()]
+    if plain:
+        jobs.append(lambda: fit_all(train.withColumn("_fold", F.lit(0)), "_fold", [Fit(c) for c in plain.values()]))
+    made = _side_by_side(jobs)
+    fitted = dict(zip(others, made)) | (dict(zip(plain, made[-1])) if plain else {})
+    return {name: fitted[name] for name in candidates}
 
 
 def fit_and_score(train: DataFrame, test: DataFrame, candidates: Candidates, id_column: str
-                  ) -> tuple[DataFrame, dict[str, Model]]:
+                  ) -> tuple[DataFrame, dict[str, Model | BoosterModel]]:
     """Fit every candidate on the training vectors, which are kept while fitting, and score the test
     rows: (model, id, label, prediction, scores), stored because every metric reads it."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = {name: estimator.fit(train) for name, estimator in candidates.items()}
+    fitted = _fit_candidates(train, candidates)
     train.unpersist()
-    scored = reduce(DataFrame.unionByName, [
-        _scored(model, test, name, id_column) for name, model in fitted.items()])
-    return stored(scored, "scored"), fitted
+    return score_all(test, fitted, id_column), fitted
+
+
+def score_all(rows: DataFrame, fitted: Mapping[str, Model | BoosterModel], id_column: str) -> DataFrame:
+    """(model, id, label, prediction, scores) of every model on the same rows, stored."""
+    return stored(reduce(DataFrame.unionByName, [
+        _scored(model, rows, name, id_column) for name, model in fitted.items()]), "scored")
 
 
 def model_metrics(scored: DataFrame, classes: int) -> DataFrame:
@@ -139,41 +160,54 @@ def model_metrics(scored: DataFrame, classes: int) -> DataFrame:
 
 # ---- out-of-fold scores
 
-def _with_scores(rows: DataFrame, fitted: Mapping[str, Model]) -> DataFrame:
+def _with_scores(rows: DataFrame, fitted: Mapping[str, Model | BoosterModel]) -> DataFrame:
     for name, model in fitted.items():
         rows = (model.transform(rows).withColumn(name, vector_to_array("probability")[1])
                 .drop("prediction", "probability", "rawPrediction"))
     return rows
 
 
+def _fit_folds(dealt: DataFrame, candidates: Candidates, folds: int, mark: str | None) -> list[dict]:
+    """Every candidate without each fold in turn, all fits side by side. The boosters bin the table once."""
+    stop = {fold: (fold + 1) % folds if mark else None for fold in range(folds)}
+    boosters = {n: c for n, c in candidates.items() if isinstance(c, Booster)}
+    keys = [(fold, name) for name in candidates if name not in boosters for fold in range(folds)]
+    own = [(fold, name) for name in boosters for fold in range(folds)]
+
+    def rows(fold: int) -> DataFrame:
+        kept = dealt.where(F.col("fold") != fold)
+        return kept.withColumn(mark, F.col("fold") == stop[fold]) if mark else kept
+
+    jobs = [lambda fold=fold, name=name: candidates[name].fit(rows(fold)) for fold, name in keys]
+    if own:
+        jobs.append(lambda: fit_all(dealt, "fold", [Fit(boosters[name], fold, stop[fold]) for fold, name in own]))
+    made = _side_by_side(jobs)
+    fitted = dict(zip(keys, made)) | (dict(zip(own, made[-1])) if own else {})
+    return [{name: fitted[fold, name] for name in candidates} for fold in range(folds)]
+
+
 def out_of_fold(train: DataFrame, test: DataFrame, make: Callable[[str | None], Candidates],
-                id_column: str, folds: int = 5, early_stop: bool = False, seed: int = SEED
-                ) -> tuple[DataFrame, DataFrame, list[dict[str, Model]]]:
+                id_column: str, folds: int = 5, early_stop: bool = False, seed: int = SEED, carry: Sequence[str] = ()
+                ) -> tuple[DataFrame, DataFrame, list[dict[str, Model | BoosterModel]]]:
     """Fit the candidates ``folds`` times; score each row by the models that have not seen it.
 
-    Returns (id, label, fold, one score column per candidate), (id, one mean score column per
-    candidate) for the test rows, and the fitted models per fold. With ``early_stop`` the fold after
+    Returns (id, label, fold, ``carry`` columns, one score column per candidate), (id, ``carry`` columns, one mean
+    score column per candidate) for the test rows, and the fitted models per fold. With ``early_stop`` the fold after
     the scored one stops the rounds, so the scored fold stays unseen.
     """
     if early_stop and folds < 3:
         raise ValueError("early stopping needs a third fold to train on")
     dealt = stored(stratified_folds(train, id_column, LABEL, folds, seed), "folds")
-    models, parts = [], []
-    for fold in range(folds):
-        fit_rows = dealt.where(F.col("fold") != fold)
-        mark = None
-        if early_stop:
-            mark = "_stop"
-            fit_rows = fit_rows.withColumn(mark, F.col("fold") == (fold + 1) % folds)
-        fitted = {name: estimator.fit(fit_rows) for name, estimator in make(mark).items()}
-        models.append(fitted)
-        parts.append(_with_scores(dealt.where(F.col("fold") == fold), fitted))
+    mark = "_stop" if early_stop else None
+    models = _fit_folds(dealt, make(mark), folds, mark)
     names = list(models[0])
-    oof = reduce(DataFrame.unionByName, parts).select(id_column, LABEL, "fold", *names)
+    oof = reduce(DataFrame.unionByName, [
+        _with_scores(dealt.where(F.col("fold") == fold), fitted) for fold, fitted in enumerate(models)]).select(
+        id_column, LABEL, "fold", *carry, *names)
     scored = test
     for fold, fitted in enumerate(models):
         scored = _with_scores(scored, {f"{name}_{fold}": m for name, m in fitted.items()})
-    means = scored.select(id_column, *[
+    means = scored.select(id_column, *carry, *[
         row_mean(*[F.col(f"{name}_{fold}") for fold in range(folds)]).alias(name) for name in names])
     return stored(oof, "oof"), stored(means, "test-scores"), models
 
@@ -186,19 +220,23 @@ def average_folds(parts: Sequence[DataFrame], id_column: str, score: str) -> Dat
 
 def stack(oof: DataFrame, test: DataFrame, scores: Sequence[str], id_column: str, rows: int,
           folds: int = 3, c: float = 10.0) -> tuple[DataFrame, DataFrame]:
-    """Logistic regression over the candidates' scores, itself out of fold; adds column ``stacked``."""
-    def meta(_):
-        return {"stacked": logistic(rows, c, weighted=False)}
-    vectors = assemble(oof.select(id_column, LABEL, *scores), scores)
-    test_vectors = assemble(test.select(id_column, *scores), scores)
-    stacked, test_stacked, _ = out_of_fold(vectors, test_vectors, meta, id_column, folds)
-    return (attach(oof.drop("fold"), stacked.select(id_column, "stacked"), id_column),
-            attach(test, test_stacked, id_column))
+    """Logistic regression over the candidates' scores, itself out of fold; adds column ``stacked``.
+
+    The other columns of both tables travel with their rows. ``rows`` is the number of out-of-fold rows, of
+    which each of the fits sees all but one fold.
+    """
+    kept = [c_ for c_ in oof.columns if c_ not in (id_column, LABEL, "fold")]
+    seen = rows - rows // folds if folds > 1 else rows
+    vectors = assemble(oof.drop("fold"), scores)
+    test_vectors = assemble(test, scores)
+    stacked, test_stacked, _ = out_of_fold(
+        vectors, test_vectors, lambda _: {"stacked": logistic(seen, c, weighted=False)}, id_column, folds, carry=kept)
+    return stacked.drop("fold"), test_stacked
 
 
 # ---- importances
 
-def importances(spark, model: Model, names: Sequence[str]) -> DataFrame:
+def importances(spark, model: Model | BoosterModel, names: Sequence[str]) -> DataFrame:
     """(feature, importance): tree importances or absolute coefficients of the first class row."""
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()

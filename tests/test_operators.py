@@ -339,6 +339,21 @@ def test_tfidf_matches_brute_force(spark, monkeypatch, large):
     assert {(r["d"], r["term"]): r["weight"] for r in got.collect()} == pytest.approx(brute_tfidf(DOCS))
 
 
+def test_wide_vocabulary_is_bounded_by_the_texts(spark):
+    """100,000 terms: a row holds its own entries only, and vectors go into an assembler as they are."""
+    words = " ".join(f"w{i:06d}" for i in range(100_000))
+    df = spark.createDataFrame([(i, words[i * 8_000: (i + 1) * 8_000 - 1]) for i in range(100)] + [(100, None), (101, "")], "d int, t string")
+    out, terms = tfidf_vectors(df, "d", "t", 200_000, "v", bigrams=False)
+    assert len(terms) == 100_000
+    got = {r["d"]: r["v"] for r in out.collect()}
+    assert len(got) == 102 and {v.size for v in got.values()} == {100_000}
+    assert [len(got[i].indices) for i in (0, 57, 100, 101)] == [1_000, 1_000, 0, 0]
+    assert got[3].indices[0] == 3_000 and abs(got[3].values[0] - 1_000 ** -0.5) < 1e-12
+    from tabula.operators import models
+    one = models.assemble(out, ["v", "d"]).where("d = 5").first()["features"]
+    assert one.size == 100_001 and one.numNonzeros() == 1_001
+
+
 def test_tfidf_vectors_hold_the_same_weights(spark):
     df = spark.createDataFrame(DOCS, "d long, t string")
     out, terms = tfidf_vectors(df, "d", "t", 10, "v", bigrams=False)

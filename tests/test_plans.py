@@ -129,7 +129,7 @@ def test_severity_task_leaves_other_levels_out(spark):
 def test_text_task_runs_on_training_vocabulary(spark):
     t = Tables(spark, SMALL)
     result = tasks.ransomware(t.vulnerabilities().limit(600), ["the"], rounds=2, trees=3)
-    assert result.comparison.count() == 4
+    assert result.comparison.count() == 5
     assert result.names[-2:] == ["CVE_Year", "Vendor_Encoded"] and len(result.names) <= 502
     assert result.roc("Random Forest").where("fpr = 0 and tpr = 0").count() >= 1
 
@@ -176,12 +176,14 @@ def test_registered_models_take_the_full_numbers(spark, monkeypatch):
         raise Reached
 
     def size(m):
+        if isinstance(m, models.Booster):
+            return m.rounds, m.depth
         return m.getNumTrees() if m.hasParam("numTrees") else m.getMaxIter(), m.getMaxDepth()
 
     monkeypatch.setattr(modelling, "_lap_task", lambda t, make: make(spark.range(5)))
     assert size(modelling.rf_fit(None)["Random Forest"]) == (100, 10)
     assert size(modelling.gbt_fit(None)["Gradient Boosting"]) == (100, 3)
-    assert {size(m) for m in modelling.gbt_variants(None).values()} == {(2000, 8)}
+    assert {(m.rounds, m.depth, m.patience) for m in models.boosting_variants().values()} == {(2000, 8, 100)}
     compared = modelling.model_compare(None)
     assert size(compared["Random Forest"]) == (100, 10) and size(compared["Gradient Boosting"]) == (100, 3)
 
@@ -213,13 +215,13 @@ def test_industry_and_ip_tasks_have_a_weighted_booster(spark, monkeypatch):
     monkeypatch.setattr(tasks, "_run", lambda *args: args[-1])
     t = Tables(spark, SMALL)
     for made in (tasks.ip_severity(t.ips()), tasks.industry(t.pulses(), ["the"])):
-        assert made["Weighted Boosting per Class"].getWeightCol() == "weight" and "Boosting per Class" in made
-    assert "Weighted Boosting per Class" not in tasks.domain_severity(t.domains())
+        assert made["Weighted Boosting"].weighted and not made["Boosting"].weighted
+    assert "Weighted Boosting" not in tasks.domain_severity(t.domains())
 
 
 def test_weighted_booster_follows_the_weights(spark):
     rows = spark.range(400).select("id", (F.col("id") % 8 == 0).cast("int").alias(LABEL), F.lit(1.0).alias("x"))
     rows = models.assemble(rows.withColumn("weight", F.when(F.col(LABEL) == 1, 20.0).otherwise(1.0)), ["x"])
     for weighted, wanted in ((False, 0), (True, 1)):
-        fitted = models.boosted_multiclass(1, 1, weighted=weighted).fit(rows)
+        fitted = models.boosted_multiclass(2, 1, 1, weighted=weighted).fit(rows)
         assert fitted.transform(rows).first()["prediction"] == wanted
