@@ -38,7 +38,7 @@ _AUTOMATA: dict[str, "Automaton"] = {}
 _SPACE = r"[\t-\r \x85\xa0  -     　]"
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -74,7 +74,7 @@ class Automaton:
         self.split = regex.compile(next(
             p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self.symbols = dict(enumerate(_byte_symbols()))
+        self.symbols = dict(enumerate(byte_symbols()))
         self.words = Cache(lambda words: list(map(self._word, words)), CACHED_UNITS)
         self.units = Cache(self._make_units, CACHED_UNITS)
 

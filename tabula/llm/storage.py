@@ -48,12 +48,13 @@ def parts_for(spark: SparkSession, rows: int, per_part: int, least: int | None =
     return max(least, -(-rows // per_part))
 
 
-def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """Arrow batches of few rows, as texts may be very long; a smaller setting of the session stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 8 << 20) -> None:
+    """Arrow batches of few rows and bytes, as texts may be very long; smaller settings of the session stay."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(str(spark.conf.get(key)).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def lean_memory() -> None:

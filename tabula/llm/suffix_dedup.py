@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.llm.induced_sorting import common_prefixes, suffix_order
-from tabula.llm.storage import lean_memory, parts_for, read_file, save_file, shared_folder, small_batches
+from tabula.llm.storage import lean_memory, parts_for, read_file, save_file, shared_folder, slices, small_batches
 from tabula.llm.textnum import mix, powers
 
 _U = np.uint64
 WIDTH = 50
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 4_000_000
+#: Bytes of text for each shard.
+SHARD_BYTES = 6_000_000
 #: Bytes of contexts that are sorted together; the contexts of one anchor are never parted.
 SORT_BYTES = 2_000_000
 #: Chunks that hold one anchor beyond which its contexts are split into single windows.
@@ -197,7 +199,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     spark = docs.sparkSession
     small_batches(spark, 500)
     folder = shared_folder(spark, "suffix-chunks")
-    shards = parts_for(spark, docs.count(), 4_000)
+    shards = parts_for(spark, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, SHARD_BYTES)
     given = docs.select(
         *[f"`{c}`" for c in carry], docs["doc_id"].cast("long").alias("__id"), docs["text"].alias("__text"))
     carried = given.schema.fields[: len(carry)]
@@ -216,12 +218,11 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             yield from _keys(_Chunk(table, width), chunk).to_batches()
             number, held, size = number + 1, [], 0
 
-        for batch in batches:
-            for some in range(0, batch.num_rows, 100):
-                held.append(batch.slice(some, 100))
-                size += pc.sum(pc.binary_length(held[-1].column(len(carry) + 1))).as_py() or 0
-                if size >= CHUNK_BYTES:
-                    yield from flush()
+        for some in slices(batches, len(carry) + 1, CHUNK_BYTES // 4):
+            held.append(some)
+            size += pc.sum(pc.binary_length(some.column(len(carry) + 1))).as_py() or 0
+            if size >= CHUNK_BYTES:
+                yield from flush()
         if held:
             yield from flush()
 
@@ -366,6 +367,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         windows = np.asarray([len(t) for t in text]) - width + 1
         _, of_key, variants = np.unique(keys[first], return_inverse=True, return_counts=True)
         several = np.flatnonzero(variants[of_key] > 1)
+        del rows, table, seen, contexts
         begin = np.cumsum(windows) - windows
         earliest = np.repeat(least, windows)
         several = several[np.argsort(of_key[several], kind="stable")]

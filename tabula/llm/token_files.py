@@ -10,7 +10,9 @@ anything but offsets. Local files are memory-mapped; elsewhere the ranges are re
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,11 +23,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.llm.storage import parts_for, shared_folder, small_batches
-from tabula.llm.units import OTHER_SPACES, SEPARATORS, Cache
+from tabula.llm.bpe_automaton import byte_symbols
+from tabula.llm.storage import lean_memory, parts_for, shared_folder, slices, small_batches
+from tabula.llm.units import OTHER_SPACES, SEPARATORS
 
+#: Units in each of two memos; those still in use move to the younger one.
 CACHED_UNITS = 400_000
 DOCS_PER_PART = 4_000
+#: Mark of a unit that begins a text; no regular text holds it.
+_FIRST = SEPARATORS[-1]
+_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -47,14 +54,41 @@ class Encoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.first = Cache(lambda keys: self._encode(keys), 20_000)
-        self.later = Cache(lambda keys: self._encode([k if k[0] == "\n" else " " + k for k in keys]), CACHED_UNITS)
+        spec = json.loads(self.library.to_str())
+        split = spec["pre_tokenizer"] or {}
+        self.by_words = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [
             np.asarray(e.ids, self.dtype).tobytes()
             for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _make(self, units: list[str]) -> list[bytes]:
+        """Ids of units after a space. A line feed, a word of letters and the marks after it are what the library
+        splits anyway, so these go to its model at once; other units take the whole way."""
+        out: list = [None] * len(units)
+        tokens, marks = self.library.model.tokenize, {"": ()}
+        feed = [t.id for t in tokens("Ċ")]
+        for i, unit in enumerate(units if self.by_words else ()):
+            lead, glue = ((), "") if unit[:1] == _FIRST else (feed, "") if unit[:1] == "\n" else ((), "Ġ")
+            plain = _PLAIN.fullmatch(unit, 0 if glue else 1)
+            if plain and plain[1].isalpha():
+                word, mark = plain.groups()
+                if not word.isascii():
+                    word = word.encode("utf-8").decode("latin-1").translate(self.symbols)
+                if mark not in marks:
+                    marks[mark] = [t.id for t in tokens(mark)]
+                out[i] = np.array([*lead, *[t.id for t in tokens(glue + word)], *marks[mark]], self.dtype).tobytes()
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        texts = [units[i] for i in rest]
+        made = self._encode([u[1:] if u[:1] == _FIRST else u if u[:1] == "\n" else " " + u for u in texts])
+        for i, ids in zip(rest, made):
+            out[i] = ids
+        return out
+
     def regular(self, text: str) -> bool:
         if not text or text[0] in " \n" or text[-1] in " \n":
             return False
@@ -63,13 +97,28 @@ class Encoder:
         odd = "\t\x0b\x0c\r" + SEPARATORS if text.isascii() else OTHER_SPACES + SEPARATORS
         return not any(c in text for c in odd) and not any(s in text for s in self.special)
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.regular(text):
-            return self._encode([text])[0]
-        head, *rest = text.replace("\n", " \n").split(" ")
-        return b"".join(self.first.all([head]) + self.later.all(rest))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. The units of all texts are looked up together, and unknown ones encoded together."""
+        units, borders, odd = [], [0], []
+        for i, text in enumerate(texts):
+            if text and self.regular(text):
+                begin = len(units)
+                units += text.replace("\n", " \n").split(" ")
+                units[begin] = _FIRST + units[begin]
+            elif text:
+                odd.append(i)
+            borders.append(len(units))
+        if len(self.memo) > CACHED_UNITS:
+            self.memo, self.older = {}, self.memo
+        needed = set(units).difference(self.memo)
+        self.memo.update({u: self.older[u] for u in needed.intersection(self.older)})
+        fresh = list(needed.difference(self.older))
+        self.memo.update(zip(fresh, self._make(fresh)))
+        parts = list(map(self.memo.__getitem__, units))
+        out = [b"".join(parts[a:b]) for a, b in zip(borders, borders[1:])]
+        for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
+            out[i] = ids
+        return out
 
 
 def encoder(path: str) -> Encoder:
@@ -94,7 +143,8 @@ def _load(folder: str, name: str, dtype) -> np.ndarray:
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0) -> list[dict]:
     """Encode ``text`` of every row, end each document with ``end_id``, write the files; one entry per part.
 
-    Null and empty texts hold the end id alone. Rows are ordered by doc_id (nulls first), then by text;
+    Null and empty texts hold the end id alone, an empty table gives no files, and texts of any length are encoded
+    whole. Rows are ordered by doc_id (nulls first), then by text;
     identical rows are all written. Other columns are ignored. A part is written under a name of its
     attempt and then renamed, so a repeated or lost task leaves whole files only.
     """
@@ -105,17 +155,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
     store.create_dir(path, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         enc, task = encoder(tokenizer), TaskContext.get()
         store, path = _open(folder)
         end = np.asarray([end_id], enc.dtype).tobytes()
         part, attempt = f"part-{task.partitionId():05d}", task.taskAttemptId()
         width, at, offsets, ids, valid = enc.dtype.itemsize, 0, [0], [], []
         with store.open_output_stream(f"{path}/.{part}-{attempt}.ids") as out:
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    data = enc.encode(text or "") + end
-                    out.write(data)
-                    at += len(data) // width
+            for batch in slices(batches, 1):
+                data = enc.encode([t or "" for t in batch.column(1).to_pylist()])
+                out.write(end.join([*data, b""]))
+                for doc_id, own in zip(batch.column(0).to_pylist(), data):
+                    at += len(own) // width + 1
                     offsets.append(at)
                     ids.append(doc_id or 0)
                     valid.append(doc_id is not None)
