@@ -39,9 +39,9 @@ from tabula.llm.textnum import mix, powers
 
 _U = np.uint64
 WIDTH = 50
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 12_000_000
 #: Bytes of text for each shard.
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 13_000_000
 #: Bytes of contexts that are sorted together; the contexts of one anchor are never parted.
 SORT_BYTES = 2_000_000
 #: Chunks that hold one anchor beyond which its contexts are split into single windows.
@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             yield from _keys(_Chunk(table, width), chunk).to_batches()
             number, held, size = number + 1, [], 0
 
-        for some in slices(batches, len(carry) + 1, CHUNK_BYTES // 4):
+        for some in slices(batches, len(carry) + 1, 1_000_000):
             held.append(some)
             size += pc.sum(pc.binary_length(some.column(len(carry) + 1))).as_py() or 0
             if size >= CHUNK_BYTES:
@@ -413,12 +413,13 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         least = np.full(len(masks), np.iinfo(np.int64).max)
         np.minimum.at(least, number, ids[doc])
         mask = np.where(ids[doc] > least[number], (1 << many) - 1, masks[number]) if len(number) else np.empty(0, np.int64)
-        edge = np.zeros(len(chunk.data) + 1, np.int64)
+        edge = np.zeros(len(chunk.data) + 1, np.int32)
         for bit in range(int(many.max()) if len(many) else 0):
             begin = start[(mask >> bit & 1).astype(bool)] + bit
             np.add.at(edge, begin, 1)
             np.add.at(edge, begin + width, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
+        del edge
         whole, absent = [], chunk.table["__text"].combine_chunks().is_null().to_pylist()
         for i, t in enumerate(chunk.texts):
             a, b = chunk.borders[i], chunk.borders[i + 1]
