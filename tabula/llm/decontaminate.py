@@ -6,9 +6,9 @@ A passage counts as found where an item aligns with document words in at most ``
 there. Window and item are embedded by the same random walks (a symbol is repeated or passed on by a
 coin that step and symbol decide), which turns few edits into a small Hamming distance; sampled
 coordinates of the embeddings are hashed, and a pair is kept where one of ``WALKS * SAMPLES`` hashes agrees. What is kept is
-verified by the exact edit distance.
+verified by the exact edit distance. Items too short for a 3-gram allow no edit and are found by their one or two words.
 
-Items are taken in blocks of bounded size, each a pass over all documents; documents are never shuffled.
+Items are taken in blocks of bounded rows and bytes, each a pass over all documents; documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.storage import lean_memory, small_batches
-from tabula.llm.textnum import NOT_ALNUM, mix, powers, words
+from tabula.llm.storage import lean_memory, slices, small_batches
+from tabula.llm.textnum import mix, powers, unicode_words
 
 _U = np.uint64
 SEED_WORDS = 3
 #: Walks, samples of each, coordinates of a sample: an alignment at the limit is missed in under one of a hundred (tested).
 WALKS, SAMPLES, COORDINATES = 12, 12, 8
-ITEM_BLOCK = 20_000
+ITEM_BLOCK, ITEM_BYTES = 20_000, 16_000_000
 _FILTER_BITS = 22
 
 
@@ -36,22 +36,24 @@ def edits(n: int) -> int:
     return max(0, min(n // 5, (n - SEED_WORDS) // SEED_WORDS))
 
 
-def _grams(hashes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first word of every 3-gram within a text."""
-    if len(hashes) < SEED_WORDS:
+def _grams(hashes: np.ndarray, borders: np.ndarray, width: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of every run of ``width`` words within a text."""
+    if len(hashes) < width:
         return np.empty(0, _U), np.empty(0, np.int64)
-    step = powers(_U(0x9E3779B97F4A7C15), SEED_WORDS)
-    rolled = sum(hashes[i: len(hashes) - SEED_WORDS + 1 + i] * step[i] for i in range(SEED_WORDS))
-    at = np.arange(len(rolled))
-    inside = np.searchsorted(borders, at, side="right") == np.searchsorted(borders, at + SEED_WORDS - 1, side="right")
-    return mix(rolled[inside]), at[inside]
+    step = powers(_U(0x9E3779B97F4A7C15), width)
+    inside = np.ones(len(hashes), bool)
+    for i in range(1, width):
+        inside[np.maximum(borders[1:] - i, borders[:-1])[borders[1:] > borders[:-1]]] = False
+    at = np.flatnonzero(inside[: len(hashes) - width + 1])
+    rolled = sum(hashes[i: len(hashes) - width + 1 + i] * step[i] for i in range(width))
+    return mix(rolled[at]), at
 
 
 class Items:
     """Words of a block of benchmark items, their 3-grams, and their sampled embeddings."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        self.words, borders = words(texts, NOT_ALNUM)
+        self.words, borders = unicode_words(texts)
         lengths = np.diff(borders)
         self.ids, self.begin, self.length = np.asarray(ids, np.int64), borders[:-1], lengths
         self.limit = np.asarray([edits(int(n)) for n in lengths])
@@ -64,6 +66,13 @@ class Items:
         usable = np.flatnonzero(lengths >= SEED_WORDS)
         self.keys = np.zeros((len(lengths), WALKS * SAMPLES), _U)
         self.keys[usable] = embed(self.words, self.begin[usable], lengths[usable], lengths[usable])
+        self.short = {}  # by words: sorted hashes of the items of so many words, and the items
+        for width in range(1, SEED_WORDS):
+            own = np.flatnonzero(lengths == width)
+            if len(own):
+                key, _ = _grams(self.words[(self.begin[own][:, None] + np.arange(width)).ravel()], np.arange(len(own) + 1) * width, width)
+                order = np.argsort(key, kind="stable")
+                self.short[width] = key[order], own[order]
 
 
 def embed(symbols: np.ndarray, begin: np.ndarray, count: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -115,9 +124,26 @@ def fit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(origin[end]), end
 
 
+def _short_matches(hashes: np.ndarray, borders: np.ndarray, items: Items) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """First place of every item of fewer words than a seed, by (text, item)."""
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for width, (key, item) in items.short.items():
+        gram, at = _grams(hashes, borders, width)
+        low, high = np.searchsorted(key, gram), np.searchsorted(key, gram, side="right")
+        hit = np.flatnonzero(high > low)
+        text = np.searchsorted(borders, at[hit], side="right") - 1
+        # one place for each text and hash, the first; only then the items that share the hash
+        _, first = np.unique(np.stack([text, low[hit]]), axis=1, return_index=True)
+        for h in first.tolist():
+            t, place = int(text[h]), int(hit[h])
+            for i in item[low[place]: high[place]].tolist():
+                found[t, i] = (0, int(at[place] - borders[t]), width)
+    return found
+
+
 def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text, item, distance, first word, words) of the best alignment of every item found in a text."""
-    hashes, borders = words(texts, NOT_ALNUM)
+    hashes, borders = unicode_words(texts)
     gram, at = _grams(hashes, borders)
     hit = items.filter[(gram >> _U(64 - _FILTER_BITS)).astype(np.int64)]
     gram, at = gram[hit], at[hit]
@@ -129,7 +155,7 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int, in
     text = np.searchsorted(borders, word, side="right") - 1
     start = np.maximum(word - (items.at[place] - items.begin[item]), borders[:-1][text])
     pairs = np.unique(np.stack([text, item, start], axis=1), axis=0)
-    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    found: dict[tuple[int, int], tuple[int, int, int]] = _short_matches(hashes, borders, items)
     for some in range(0, len(pairs), 20_000):
         text, item, start = pairs[some: some + 20_000].T
         count = np.minimum(items.length[item], borders[1:][text] - start)
@@ -146,9 +172,10 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int, in
 
 
 def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[str]]]:
-    """Ids and texts of the items, in blocks of about ``block`` items."""
+    """Ids and texts of the items, in blocks of about ``block`` items and ``ITEM_BYTES`` bytes."""
     known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
-    blocks = -(-known.count() // block)
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(-(-size["n"] // block), -(-size["bytes"] // ITEM_BYTES))
     for turn in range(blocks):
         own = known if blocks == 1 else known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == turn)
         listed = own.collect()
@@ -159,10 +186,11 @@ def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[
 def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
     """doc_id, item_id, distance, first_word, n_words: the best place of each benchmark item in each document.
 
-    Words are lower-case runs of letters and digits; whole texts are searched. Null and empty texts
-    have no rows; items that are null or shorter than three words are not searched for; equal rows of
-    either table have rows of their own; an empty table on either side gives none. Columns other than doc_id,
-    text and item_id are ignored.
+    Words are lower-case runs of letters, digits and marks of any script, single characters in scripts without
+    spaces; whole texts are searched. Of several best places the first counts. Null and empty texts
+    have no rows; items that are null or have no word are not searched for; equal rows of
+    either table have rows of their own; an empty table on either side gives none. Texts are taken in slices of bounded
+    bytes, a longer one alone. Columns other than doc_id, text and item_id are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -174,16 +202,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK)
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
             lean_memory()
             items = Items([i or 0 for i in ids], texts)
-            for batch in batches:
-                doc, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for some in range(0, len(doc), 500):
-                    hits = matches(text[some: some + 500], items)
-                    if hits:
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([doc[some + t] for t, *_ in hits], pa.int64()),
-                            pa.array([ids[h[1]] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int32()),
-                            pa.array([h[3] for h in hits], pa.int64()), pa.array([h[4] for h in hits], pa.int32())],
-                            names=["doc_id", "item_id", "distance", "first_word", "n_words"])
+            for part in slices(batches, 1):
+                doc, hits = part.column(0).to_pylist(), matches(part.column(1).to_pylist(), items)
+                if hits:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([doc[t] for t, *_ in hits], pa.int64()),
+                        pa.array([ids[h[1]] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int32()),
+                        pa.array([h[3] for h in hits], pa.int64()), pa.array([h[4] for h in hits], pa.int32())],
+                        names=["doc_id", "item_id", "distance", "first_word", "n_words"])
 
         found = rows.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
@@ -202,11 +228,9 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
             lean_memory()
             items = Items([i or 0 for i in ids], texts)
-            for batch in batches:
-                for some in range(0, batch.num_rows, 500):
-                    part = batch.slice(some, 500)
-                    found = {h[0] for h in matches([t or "" for t in part.column(place).to_pylist()], items)}
-                    yield part.filter(pa.array([i not in found for i in range(part.num_rows)], pa.bool_()))
+            for part in slices(batches, place):
+                found = {h[0] for h in matches([t or "" for t in part.column(place).to_pylist()], items)}
+                yield part.filter(pa.array([i not in found for i in range(part.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

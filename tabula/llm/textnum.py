@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
 _U = np.uint64
@@ -67,6 +69,53 @@ def words(texts: list[str], between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray
     return range_hashes(data, start, stop), np.searchsorted(start, borders)
 
 
+# Scripts written without spaces, as first and last code point: South East Asian, kana, Han; fixed values.
+_SPACELESS = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+              (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF)]
+_BETWEEN, _LETTER, _ALONE = 0, 1, 2
+_KINDS: list[np.ndarray] = []
+
+
+def _kinds() -> np.ndarray:
+    """For every code point: between words, a letter (or digit, or mark), or a word of its own."""
+    if not _KINDS:
+        kinds = np.asarray([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)]).astype(np.uint8)
+        for first, last in _SPACELESS:
+            own = kinds[first: last + 1]
+            own[own == _LETTER] = _ALONE
+        _KINDS.append(kinds)
+    return _KINDS[0]
+
+
+def unicode_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Like :func:`words`, for text of any script: runs of letters, digits and marks; where a script has no
+    spaces every character is a word."""
+    data, borders = joined([t.lower().encode("utf-8", "surrogatepass") for t in texts])
+    if not len(data):
+        return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
+    solid = ~NOT_ALNUM[data]
+    cut = np.zeros(len(data) + 1, bool)  # a word may not go on here
+    cut[borders] = True
+    wide = np.flatnonzero(data >= 0xC0)
+    if len(wide):
+        size = 2 + (data[wide] >= 0xE0) + (data[wide] >= 0xF0)
+        code = data[wide].astype(np.int64) & (0x7F >> size)
+        for i in range(1, 4):
+            more = size > i
+            code[more] = code[more] << 6 | data[wide[more] + i] & 0x3F
+        kind = _kinds()[code]
+        for i in range(4):
+            solid[wide[(kind == _BETWEEN) & (size > i)] + i] = False
+        alone = kind == _ALONE
+        cut[wide[alone]] = cut[(wide + size)[alone]] = True
+    start = solid.copy()
+    start[1:] &= ~solid[:-1] | cut[1:-1]
+    stop = solid.copy()
+    stop[:-1] &= ~solid[1:] | cut[1:-1]
+    start, stop = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    return range_hashes(data, start, stop), np.searchsorted(start, borders)
+
+
 def shingles(hashes: np.ndarray, borders: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``width`` words in a row; a text of fewer words has one shingle of them all. With borders."""
     n = np.diff(borders)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import sys
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -16,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 from tabula.llm import (  # noqa: E402
-    bpe_automaton, dart_minhash, decontaminate, html_blocks, language_codes, license_scan, multi_index, sharding, suffix_dedup, token_files)
+    bpe_automaton, dart_minhash, decontaminate, html_blocks, language_codes, license_scan, multi_index, sharding, suffix_dedup, textnum, token_files)
 from tabula.llm.induced_sorting import common_prefixes, suffix_order  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, row long, score double, id long, kept_text string"
@@ -224,7 +225,7 @@ def test_neighbours_recall_and_ties(spark):
 
 
 def test_decontamination_finds_edited_items(spark, odd):
-    items = [(k, prose(200 + k, 20 + k)) for k in range(30)] + [(98, None), (99, "too short")]
+    items = [(k, prose(200 + k, 20 + k)) for k in range(30)] + [(98, None), (99, "??!"), (97, "never there"), (96, "")]
     r, texts = random.Random(3), []
     for k, t in items[:30]:
         w = t.split()
@@ -241,6 +242,73 @@ def test_decontamination_finds_edited_items(spark, odd):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def plain_words(text):
+    """Words by the plain reading of the rule."""
+    out, run = [], ""
+    for c in text.lower():
+        alone = unicodedata.category(c)[0] in "LNM" and any(a <= ord(c) <= b for a, b in textnum._SPACELESS)
+        if unicodedata.category(c)[0] in "LNM" and not alone:
+            run += c
+            continue
+        out += [run] * bool(run) + [c] * alone
+        run = ""
+    return out + [run] * bool(run)
+
+
+def plain_distance(item, text):
+    """Edit distance of the item to its nearest stretch of the text, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, v in enumerate(text, 1):
+            new.append(min(row[j - 1] + (w != v), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def test_words_of_any_script():
+    texts = ["", "Straße «été» naïve\u00a0x—y_z 12", "中文 句子abc，結束。", "\u3000かな カナ", "ไทย e\u0301a", "😀 a😀b 𠀀𠀁", "\ud800x", "plain words only", "中", "x"]
+    hashes, borders = textnum.unicode_words(texts)
+    flat = [w for t in texts for w in plain_words(t)]
+    assert borders.tolist() == list(np.cumsum([0] + [len(plain_words(t)) for t in texts]))
+    assert hashes.tolist() == textnum.unicode_words([" ".join(flat)])[0].tolist()
+    assert len(set(hashes.tolist())) == len(set(flat))
+
+
+def test_decontamination_agrees_with_edit_distances():
+    r = random.Random(11)
+    chinese = "今天天气很好我们一起去公园散步然后回家吃饭看书"
+    items = [prose(600 + k, r.choice([1, 2, 3, 5, 8, 12, 20, 31])) for k in range(40)] + [chinese, "中文", "Été déjà vu", "x"]
+    texts = []
+    for k, t in enumerate(items):
+        w = plain_words(t)
+        for edit in range(r.randrange(3)):
+            at = r.randrange(len(w) + 1)
+            w[at: at + r.randrange(2)] = [f"new{k}"] * r.randrange(2)
+        texts.append(prose(700 + k, r.randrange(15)) + (" —" + " ".join(w) + "… ") + prose(800 + k, r.randrange(15)))
+    texts += ["前面" + chinese[:10] + "x" + chinese[10:] + "后面", "", chinese]
+    found = decontaminate.matches(texts, decontaminate.Items(list(range(len(items))), items))
+    want = set()
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            own = plain_words(item)
+            distance = plain_distance(own, plain_words(text))
+            if distance <= decontaminate.edits(len(own)):
+                want.add((t, i, distance))
+    assert {f[:3] for f in found} == want and len(want) > 40
+    for t, i, distance, first, n in found:
+        assert plain_distance(plain_words(items[i]), plain_words(texts[t])[first: first + n]) == distance
+
+
+def test_decontamination_of_very_long_texts_in_one_batch(spark):
+    item = prose(900, 30)
+    long = [prose(901 + k, 120_000) + " " + item for k in range(4)]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert rows(decontaminate.contaminated(docs, benchmark), "doc_id", "first_word") == [(k, 120_000) for k in range(4)]
+    assert decontaminate.clean_rows(docs, benchmark).count() == 0
+
+
 def test_license_scan(odd):
     assert rows(license_scan.licenses(odd), "doc_id", "license", "coverage") == [(10, "mit-line", 1.0)]
     assert license_scan.licenses(odd.limit(0)).count() == 0
