@@ -29,6 +29,8 @@ SEED_WORDS = 3
 WALKS, SAMPLES, COORDINATES = 12, 12, 8
 ITEM_BLOCK, ITEM_BYTES = 20_000, 16_000_000
 _FILTER_BITS = 22
+# Rows embedded side by side, and symbols noted for them in one walk.
+_WALK_ROWS, _WALK_CELLS = 5_000, 1_000_000
 
 
 def edits(n: int) -> int:
@@ -81,28 +83,31 @@ def embed(symbols: np.ndarray, begin: np.ndarray, count: np.ndarray, length: np.
     The walk of an item of n words has 3n steps; which steps are sampled depends on n alone, so
     a window is sampled where its item is.
     """
-    rng, n = np.random.default_rng(11), len(begin)
-    share = rng.random((WALKS, SAMPLES, COORDINATES))
-    keys = np.zeros((n, WALKS * SAMPLES), _U)
+    share = np.random.default_rng(11).random((WALKS, SAMPLES * COORDINATES))
+    keys = np.zeros((len(begin), WALKS * SAMPLES), _U)
     padded = np.append(symbols, _U(0))
-    stop = begin + count
-    for walk in range(WALKS):
-        sampled = (share[walk].reshape(1, -1) * (3 * length)[:, None]).astype(np.int64)
-        values = np.zeros((n, SAMPLES * COORDINATES), _U)
-        at = begin.copy()
-        for step in range(int(sampled.max()) + 1 if n else 0):
-            inside = at < stop
-            symbol = np.where(inside, padded[np.minimum(at, len(symbols))], _U(1))
-            here = sampled == step
-            if here.any():
-                values = np.where(here, symbol[:, None], values)
-            coin = mix(symbol + _U((walk * 100_003 + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> _U(63)
-            at = at + (coin.astype(np.int64) & inside)
-        values = values.reshape(n, SAMPLES, COORDINATES)
-        key = np.zeros((n, SAMPLES), _U)
-        for c in range(COORDINATES):
-            key = mix(key + values[:, :, c] * _U(0xD1B54A32D192ED03))
-        keys[:, walk * SAMPLES: (walk + 1) * SAMPLES] = key
+    order = np.argsort(length, kind="stable")
+    at = 0
+    while at < len(order):  # rows of similar lengths, as many as their walks have room
+        room = max(1, _WALK_CELLS // int(3 * length[order[min(at + _WALK_ROWS, len(order)) - 1]]))
+        own = order[at: at + min(room, _WALK_ROWS)]
+        at += len(own)
+        steps = 3 * int(length[own[-1]])
+        seen = np.empty((len(own), steps), _U)
+        for walk in range(WALKS):
+            place, stop = begin[own], begin[own] + count[own]
+            for step in range(steps):
+                inside = place < stop
+                symbol = np.where(inside, padded[np.minimum(place, len(symbols))], _U(1))
+                seen[:, step] = symbol
+                coin = mix(symbol + _U((walk * 100_003 + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> _U(63)
+                place = place + (coin.astype(np.int64) & inside)
+            sampled = (share[walk] * (3 * length[own])[:, None]).astype(np.int64)
+            values = np.take_along_axis(seen, sampled, axis=1).reshape(len(own), SAMPLES, COORDINATES)
+            key = np.zeros((len(own), SAMPLES), _U)
+            for c in range(COORDINATES):
+                key = mix(key + values[:, :, c] * _U(0xD1B54A32D192ED03))
+            keys[own, walk * SAMPLES: (walk + 1) * SAMPLES] = key
     return keys
 
 

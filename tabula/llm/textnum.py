@@ -79,7 +79,9 @@ _KINDS: list[np.ndarray] = []
 def _kinds() -> np.ndarray:
     """For every code point: between words, a letter (or digit, or mark), or a word of its own."""
     if not _KINDS:
-        kinds = np.asarray([unicodedata.category(chr(c))[0] in "LNM" for c in range(0x110000)]).astype(np.uint8)
+        kinds = np.zeros(0x110000, np.uint8)
+        for first, last in ((0, 0x3FFFF), (0xE0000, 0xE0FFF)):  # the planes with letters or marks
+            kinds[first: last + 1] = [unicodedata.category(chr(c))[0] in "LNM" for c in range(first, last + 1)]
         for first, last in _SPACELESS:
             own = kinds[first: last + 1]
             own[own == _LETTER] = _ALONE
