@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -57,11 +58,30 @@ def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 8 << 20) -
             spark.conf.set(key, str(most))
 
 
+# Numbers of the C library's options: blocks mapped on their own from this size, free space kept at the top; fixed values.
+_MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1
+_MAPPED_BYTES = 1 << 20
+_LIBRARY: list = []
+
+
 def lean_memory() -> None:
     """In a worker: let Arrow allocate like everything else, so that what a batch used goes back to the system."""
     pa.set_memory_pool(pa.system_memory_pool())
 
 
+def spare_memory() -> None:
+    """In a worker, where memory is shorter than time: like :func:`lean_memory`; large blocks are mapped on their own, and
+    what earlier groups or tasks of this process freed goes back to the system, if the C library has calls for it."""
+    lean_memory()
+    if not _LIBRARY:
+        _LIBRARY.append(ctypes.CDLL(None))
+        if hasattr(_LIBRARY[0], "mallopt"):
+            _LIBRARY[0].mallopt(_MMAP_THRESHOLD, _MAPPED_BYTES)
+            _LIBRARY[0].mallopt(_TRIM_THRESHOLD, _MAPPED_BYTES)
+    if hasattr(_LIBRARY[0], "malloc_trim"):
+        _LIBRARY[0].malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """In a worker: the same rows in slices of at most ``limit`` bytes of a text column; a longer text comes alone."""
     for batch in batches:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabula.llm.induced_sorting import common_prefixes, suffix_order
-from tabula.llm.storage import lean_memory, parts_for, read_file, save_file, shared_folder, slices, small_batches
+from tabula.llm.storage import parts_for, read_file, save_file, shared_folder, slices, small_batches, spare_memory
 from tabula.llm.textnum import mix, powers
 
 _U = np.uint64
@@ -205,7 +205,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     carried = given.schema.fields[: len(carry)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
+        spare_memory()
         part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -215,8 +215,10 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             sink = io.BytesIO()
             pq.write_table(table, sink, compression="zstd")
             save_file(folder, f"chunk-{chunk}", sink.getvalue())
+            sink, held = None, []
             yield from _keys(_Chunk(table, width), chunk).to_batches()
-            number, held, size = number + 1, [], 0
+            number, size = number + 1, 0
+            spare_memory()
 
         for some in slices(batches, len(carry) + 1, 1_000_000):
             held.append(some)
@@ -252,6 +254,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     def repeated(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return table
+        spare_memory()
         rows, found = table.to_pylist(), []
         texts = [r for r in rows if r["kind"] == 1]
         if texts:
@@ -285,7 +288,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         return _rows(found)
 
     def stretches(key: tuple, table: pa.Table) -> pa.Table:
-        lean_memory()
+        spare_memory()
         name, rows = key[0].as_py(), table.to_pylist()
         chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
         copies = np.zeros(len(chunk.texts), bool)
@@ -342,7 +345,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     def sorted_out(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return table
-        lean_memory()
+        spare_memory()
         rows = table.to_pylist()
         contexts, chunk, number, keys, ids = [], [], [], [], []
         for r in rows:
@@ -400,6 +403,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         return _rows(out)
 
     def apply(key: tuple, table: pa.Table) -> pa.Table:
+        spare_memory()
         name = key[0].as_py()
         chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
         doc, start, many, number = np.frombuffer(read_file(folder, f"runs-{name}"), "<i8").reshape(4, -1)
