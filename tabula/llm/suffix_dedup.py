@@ -44,6 +44,8 @@ CHUNK_BYTES = 12_000_000
 SHARD_BYTES = 13_000_000
 #: Bytes of contexts that are sorted together; the contexts of one anchor are never parted.
 SORT_BYTES = 2_000_000
+#: Contexts whose bytes or windows are laid out at a time.
+BLOCK = 50_000
 #: Chunks that hold one anchor beyond which its contexts are split into single windows.
 HOT = 200
 _LOW = _U((1 << 40) - 1)
@@ -159,6 +161,26 @@ def _seen_twice(key: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, group, t[starts] != t[stops] if len(k) else np.empty(0, bool)
 
 
+def _cut_out(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``data`` laid end to end, copied in blocks."""
+    ends = np.cumsum(sizes)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for at in range(0, len(sizes), BLOCK):
+        n = sizes[at: at + BLOCK]
+        low, high = int(ends[at] - sizes[at]), int(ends[at + len(n) - 1])
+        flat[low:high] = data[np.repeat(begin[at: at + BLOCK] - np.cumsum(n) + n, n) + np.arange(high - low)]
+    return flat
+
+
+def _distinct(flat: np.ndarray | bytes, sizes: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """For strings laid end to end: the number of each, by first appearance, and the distinct strings."""
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    strings = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+    found = strings.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
 def classes_of(contexts: list[bytes], windows: np.ndarray, width: int) -> np.ndarray:
     """A class number for every window of every context: equal windows, and only they, have equal numbers."""
     lengths = np.asarray([len(c) for c in contexts])
@@ -316,29 +338,22 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             start = np.repeat(start, each) + shift
             many = np.where(split, 1, np.repeat(many, each))
         ids = np.asarray([i or 0 for i in chunk.ids], np.int64)
-        raw = chunk.data.tobytes()
         order = np.argsort(ids[doc], kind="stable")
-        seen: dict[bytes, int] = {}
+        sizes = (many + width - 1)[order]
+        found, stretch = _distinct(_cut_out(chunk.data, start[order], sizes), sizes)
         number = np.empty(len(doc), np.int64)
-        firsts = []
-        for j, a, b in zip(order.tolist(), start[order].tolist(), (start + many + width - 1)[order].tolist()):
-            text = raw[a:b]
-            found = seen.get(text)
-            if found is None:
-                found = seen[text] = len(firsts)
-                firsts.append(j)
-            number[j] = found
+        number[order] = found
+        firsts = order[np.unique(found, return_index=True)[1]]
         save_file(folder, f"runs-{name}", np.stack([doc, start, many, number]).astype("<i8").tobytes())
         save_file(folder, f"copies-{name}", np.packbits(copies).tobytes())
-        firsts = np.asarray(firsts, np.int64)
-        stretch = list(seen)
+        length = pc.binary_length(stretch).to_numpy()
         key_of = anchor[firsts] if len(firsts) else np.empty(0, _U)
         for j in np.flatnonzero(split[firsts]) if len(firsts) else ():
-            key_of[j] = np.frombuffer(hashlib.md5(stretch[j]).digest(), "<u8")[0]
+            key_of[j] = np.frombuffer(hashlib.md5(stretch[j].as_py()).digest(), "<u8")[0]
         out = [(-1, name, 0, None, None, None, None)]
         for shard, at in _split((mix(key_of) % _U(shards)).astype(np.int64)):
             out.append((
-                shard, name, 3, b"".join([stretch[i] for i in at]), np.asarray([len(stretch[i]) for i in at], "<u2").tobytes(),
+                shard, name, 3, b"".join(stretch.take(pa.array(at)).to_pylist()), length[at].astype("<u2").tobytes(),
                 np.stack([key_of[at].view(np.int64), ids[doc[firsts[at]]]]).astype("<i8").tobytes(), at.astype("<i4").tobytes()))
         return _rows(out)
 
@@ -347,30 +362,25 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             return table
         spare_memory()
         rows = table.to_pylist()
-        contexts, chunk, number, keys, ids = [], [], [], [], []
+        sizes, chunk, number, keys, ids = [], [], [], [], []
         for r in rows:
-            at, n = 0, np.frombuffer(r["b"], "<u2")
-            for size in n.tolist():
-                contexts.append(r["a"][at: at + size])
-                at += size
+            n = np.frombuffer(r["b"], "<u2")
+            sizes.append(n)
             chunk.append(np.full(len(n), r["chunk"]))
             number.append(np.frombuffer(r["d"], "<i4"))
             pair = np.frombuffer(r["c"], "<i8").reshape(2, -1)
             keys.append(pair[0])
             ids.append(pair[1])
-        chunk, number, keys, ids = map(np.concatenate, (chunk, number, keys, ids))
+        sizes, chunk, number, keys, ids = map(np.concatenate, (sizes, chunk, number, keys, ids))
         # copies of a context meet here: one entry each, with the smallest id
-        seen: dict[bytes, int] = {}
-        same = np.asarray([seen.setdefault(c, len(seen)) for c in contexts])
-        least = np.full(len(seen), np.iinfo(np.int64).max)
+        same, text = _distinct(b"".join(r["a"] for r in rows), sizes)
+        del rows, table
+        least = np.full(len(text), np.iinfo(np.int64).max)
         np.minimum.at(least, same, ids)
-        first = np.zeros(len(seen), np.int64)
-        first[same[::-1]] = np.arange(len(same))[::-1]
-        text = list(seen)
-        windows = np.asarray([len(t) for t in text]) - width + 1
+        first = np.unique(same, return_index=True)[1]
+        windows = pc.binary_length(text).to_numpy() - width + 1
         _, of_key, variants = np.unique(keys[first], return_inverse=True, return_counts=True)
         several = np.flatnonzero(variants[of_key] > 1)
-        del rows, table, seen, contexts
         begin = np.cumsum(windows) - windows
         earliest = np.repeat(least, windows)
         several = several[np.argsort(of_key[several], kind="stable")]
@@ -384,7 +394,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         for some in np.split(several, cuts):
             if not len(some):
                 continue
-            group = classes_of([text[i] for i in some], windows[some], width)
+            group = classes_of(text.take(pa.array(some)).to_pylist(), windows[some], width)
             flat = np.repeat(begin[some], windows[some]) + np.arange(windows[some].sum()) - np.repeat(
                 np.cumsum(windows[some]) - windows[some], windows[some])
             best = np.full(group.max() + 1, np.iinfo(np.int64).max)
@@ -392,11 +402,13 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             earliest[flat] = best[group]
         out = []
         mask_of = np.zeros(len(ids), "<u4")
-        n = windows[same]
-        at = np.repeat(begin[same], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        bit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        np.bitwise_or.at(mask_of, np.repeat(np.arange(len(ids)), n), np.where(
-            earliest[at] < np.repeat(ids, n), 1 << bit, 0).astype("<u4"))
+        for at in range(0, len(ids), BLOCK):
+            own = same[at: at + BLOCK]
+            n = windows[own]  # at least one each
+            starts = np.cumsum(n) - n
+            bit = np.arange(n.sum()) - np.repeat(starts, n)
+            early = earliest[np.repeat(begin[own], n) + bit] < np.repeat(ids[at: at + BLOCK], n)
+            mask_of[at: at + BLOCK] = np.bitwise_or.reduceat(np.where(early, 1 << bit, 0), starts)
         hit = np.flatnonzero(mask_of)
         for name, own in _split(chunk[hit]):
             out.append((0, name, 4, number[hit[own]].tobytes(), mask_of[hit[own]].tobytes(), None, None))
