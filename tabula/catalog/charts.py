@@ -9,53 +9,59 @@ from pyspark.sql.types import DoubleType
 
 from tabula.catalog.registry import Tables, query, r6
 from tabula.plans.charts import CHARTS
+from tabula.plans.cleaning import DOMAIN_NUMBERS, IP_NUMBERS
 
 
 # ---- cleaned tables: rows, with arrays as text
 
 @query("clean_pulses", """
-SELECT Pulse_ID, seq, Created, Indicators_Count, Subscribers, TLP, array_to_string(Attack_IDs_Clean, '|') AS attacks,
+SELECT Pulse_ID, seq, Title, Created, Modified, Indicators_Count, Subscribers, TLP, array_to_string(Attack_IDs_Clean, '|') AS attacks,
   array_to_string(Industries_Clean, '|') AS industries, array_to_string(Countries_Clean, '|') AS countries,
-  len(Tags_Clean)::INTEGER AS tags FROM pulses
+  array_to_string(Malware_Families_Clean, '|') AS families, array_to_string(Tags_Clean, '|') AS tags FROM pulses
 """)
 def clean_pulses(t: Tables):
     return t.pulses().select(
-        "Pulse_ID", "seq", F.col("Created").cast("timestamp_ntz").alias("Created"), "Indicators_Count",
+        "Pulse_ID", "seq", "Title", F.col("Created").cast("timestamp_ntz").alias("Created"),
+        F.col("Modified").cast("timestamp_ntz").alias("Modified"), "Indicators_Count",
         "Subscribers", "TLP", F.array_join("Attack_IDs_Clean", "|").alias("attacks"),
         F.array_join("Industries_Clean", "|").alias("industries"),
-        F.array_join("Countries_Clean", "|").alias("countries"), F.size("Tags_Clean").alias("tags"))
+        F.array_join("Countries_Clean", "|").alias("countries"),
+        F.array_join("Malware_Families_Clean", "|").alias("families"), F.array_join("Tags_Clean", "|").alias("tags"))
 
 
 @query("clean_vulnerabilities", """
-SELECT cveID, seq, product, dateAdded, dueDate, knownRansomwareCampaignUse::INTEGER AS ransomware,
+SELECT cveID, seq, vendorProject, product, vulnerabilityName, shortDescription, dateAdded, dueDate, knownRansomwareCampaignUse::INTEGER AS ransomware,
   array_to_string(cwes_list, '|') AS cwes, CVE_Year FROM vulnerabilities
 """)
 def clean_vulnerabilities(t: Tables):
     return t.vulnerabilities().select(
-        "cveID", "seq", "product", F.col("dateAdded").cast("timestamp_ntz").alias("dateAdded"),
+        "cveID", "seq", "vendorProject", "product", "vulnerabilityName", "shortDescription",
+        F.col("dateAdded").cast("timestamp_ntz").alias("dateAdded"),
         F.col("dueDate").cast("timestamp_ntz").alias("dueDate"),
         F.col("knownRansomwareCampaignUse").cast("int").alias("ransomware"),
         F.array_join("cwes_list", "|").alias("cwes"), "CVE_Year")
 
 
 @query("clean_domains", """
-SELECT Domain, Registrar, Popularity_Rank, Domain_Length, Reputation, Has_Numbers::INTEGER AS numbers,
-  Has_Hyphen::INTEGER AS hyphen, Threat_Severity FROM domains
+SELECT seq, Domain, TLD, Registrar, Creation_Date, Last_Update_Date, Last_Analysis_Date, Popularity_Rank, Domain_Length,
+  Malicious_Votes, Suspicious_Votes, Harmless_Votes, Undetected_Votes, Total_Engines, Reputation,
+  Has_Numbers::INTEGER AS numbers, Has_Hyphen::INTEGER AS hyphen, Threat_Severity FROM domains
 """)
 def clean_domains(t: Tables):
     return t.domains().select(
-        "Domain", "Registrar", "Popularity_Rank", "Domain_Length", "Reputation",
+        "seq", "Domain", "TLD", "Registrar", *DOMAIN_NUMBERS,
         F.col("Has_Numbers").cast("int").alias("numbers"), F.col("Has_Hyphen").cast("int").alias("hyphen"),
         "Threat_Severity")
 
 
 @query("clean_ips", """
-SELECT IP, ASN, Reputation_Score, Total_Reports, TOR_Node::INTEGER AS tor, Threat_Label, Threat_Category,
+SELECT seq, IP, ASN, Country, Continent, Owner, Malicious_Votes, Suspicious_Votes, Harmless_Votes, Undetected_Votes,
+  Total_Reports, Reputation_Score, Times_Submitted, Last_Analysis_Date, TOR_Node::INTEGER AS tor, Threat_Label, Threat_Category,
   Threat_Severity FROM ips
 """)
 def clean_ips(t: Tables):
     return t.ips().select(
-        "IP", "ASN", "Reputation_Score", "Total_Reports", F.col("TOR_Node").cast("int").alias("tor"),
+        "seq", "IP", "ASN", "Country", "Continent", "Owner", *IP_NUMBERS, F.col("TOR_Node").cast("int").alias("tor"),
         "Threat_Label", "Threat_Category", "Threat_Severity")
 
 

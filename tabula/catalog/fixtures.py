@@ -186,6 +186,7 @@ def _yes_no(column: str) -> str:
 CLEANED: dict[str, str] = {
     "pulses": f"""
 SELECT seq, Pulse_ID, Title, try_strptime(Created, '%Y-%m-%d %H:%M:%S') AS Created,
+  try_strptime(Modified, '%Y-%m-%d %H:%M:%S') AS Modified,
   {_numbers("Indicators_Count", "Subscribers")}, {_items("Tags")} AS Tags_Clean,
   {_items("Attack_IDs")} AS Attack_IDs_Clean, {_items("Industries")} AS Industries_Clean,
   {_items("Countries")} AS Countries_Clean, {_items("Malware_Families")} AS Malware_Families_Clean,
@@ -200,14 +201,14 @@ SELECT seq, cveID, vendorProject, {_known("product")} AS product, vulnerabilityN
 FROM vulnerabilities_raw QUALIFY row_number() OVER (PARTITION BY cveID ORDER BY seq, dueDate, vulnerabilityName) = 1""",
     "domains": f"""
 SELECT DISTINCT seq, Domain, TLD, {_known("Registrar")} AS Registrar,
-  {_numbers("Popularity_Rank", "Domain_Length", "Malicious_Votes", "Suspicious_Votes", "Harmless_Votes",
+  {_numbers("Creation_Date", "Last_Update_Date", "Last_Analysis_Date", "Popularity_Rank", "Domain_Length", "Malicious_Votes", "Suspicious_Votes", "Harmless_Votes",
             "Undetected_Votes", "Total_Engines", "Reputation")},
   {_yes_no("Has_Numbers")}, {_yes_no("Has_Hyphen")}, {_known("Threat_Severity")} AS Threat_Severity
 FROM domains_raw""",
     "ips": f"""
 SELECT seq, IP, TRY_CAST(ASN AS BIGINT) AS ASN, Country, Continent, Owner,
   {_numbers("Malicious_Votes", "Suspicious_Votes", "Harmless_Votes", "Undetected_Votes", "Total_Reports",
-            "Reputation_Score", "Times_Submitted")},
+            "Reputation_Score", "Times_Submitted", "Last_Analysis_Date")},
   {_yes_no("TOR_Node")}, {_known("Threat_Label")} AS Threat_Label,
   {_known("Threat_Category")} AS Threat_Category, {_known("Threat_Severity")} AS Threat_Severity
 FROM ips_raw QUALIFY row_number() OVER (PARTITION BY IP ORDER BY seq) = 1""",
