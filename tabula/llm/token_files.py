@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,6 @@ CACHED_UNITS = 400_000
 DOCS_PER_PART = 4_000
 #: Mark of a unit that begins a text; no regular text holds it.
 _FIRST = SEPARATORS[-1]
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -68,20 +69,31 @@ class Encoder:
 
     def _make(self, units: list[str]) -> list[bytes]:
         """Ids of units after a space. A line feed, a word of letters and the marks after it are what the library
-        splits anyway, so these go to its model at once; other units take the whole way."""
+        splits anyway, so these go to its model at once, and a word that occurs with several marks goes there once;
+        other units take the whole way."""
         out: list = [None] * len(units)
-        tokens, marks = self.library.model.tokenize, {"": ()}
-        feed = [t.id for t in tokens("Ċ")]
+        tokens, kind = self.library.model.tokenize, self.dtype.char
+
+        def packed(symbols: str) -> bytes:
+            ids = [t.id for t in tokens(symbols)]
+            return struct.pack(f"<{len(ids)}{kind}", *ids)
+
+        feed, marks, words = packed("Ċ"), {"": b""}, {}
         for i, unit in enumerate(units if self.by_words else ()):
-            lead, glue = ((), "") if unit[:1] == _FIRST else (feed, "") if unit[:1] == "\n" else ((), "Ġ")
-            plain = _PLAIN.fullmatch(unit, 0 if glue else 1)
-            if plain and plain[1].isalpha():
-                word, mark = plain.groups()
-                if not word.isascii():
-                    word = word.encode("utf-8").decode("latin-1").translate(self.symbols)
-                if mark not in marks:
-                    marks[mark] = [t.id for t in tokens(mark)]
-                out[i] = np.array([*lead, *[t.id for t in tokens(glue + word)], *marks[mark]], self.dtype).tobytes()
+            first = unit[:1]
+            glue = "" if first == _FIRST or first == "\n" else "Ġ"
+            whole = unit if glue else unit[1:]
+            word = whole if whole.isalpha() else whole.rstrip(string.punctuation)
+            if not word.isalpha():
+                continue
+            known = words.get(glue + word) or (self._known(word) if glue and word is not whole else None)
+            if known is None:
+                known = packed(glue + (word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.symbols)))
+            words[glue + word] = known
+            mark = whole[len(word):]
+            if mark not in marks:
+                marks[mark] = packed(mark)
+            out[i] = feed + known + marks[mark] if first == "\n" else known + marks[mark]
         rest = [i for i, ids in enumerate(out) if ids is None]
         texts = [units[i] for i in rest]
         made = self._encode([u[1:] if u[:1] == _FIRST else u if u[:1] == "\n" else " " + u for u in texts])
@@ -89,6 +101,9 @@ class Encoder:
             out[i] = ids
         return out
 
+    def _known(self, unit: str) -> bytes | None:
+        return self.memo.get(unit) or self.older.get(unit)
+
     def regular(self, text: str) -> bool:
         if not text or text[0] in " \n" or text[-1] in " \n":
             return False
@@ -98,28 +113,40 @@ class Encoder:
         return not any(c in text for c in odd) and not any(s in text for s in self.special)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. The units of all texts are looked up together, and unknown ones encoded together."""
-        units, borders, odd = [], [0], []
-        for i, text in enumerate(texts):
-            if text and self.regular(text):
-                begin = len(units)
-                units += text.replace("\n", " \n").split(" ")
-                units[begin] = _FIRST + units[begin]
-            elif text:
-                odd.append(i)
-            borders.append(len(units))
-        if len(self.memo) > CACHED_UNITS:
-            self.memo, self.older = {}, self.memo
-        needed = set(units).difference(self.memo)
-        self.memo.update({u: self.older[u] for u in needed.intersection(self.older)})
-        fresh = list(needed.difference(self.older))
-        self.memo.update(zip(fresh, self._make(fresh)))
-        parts = list(map(self.memo.__getitem__, units))
-        out = [b"".join(parts[a:b]) for a, b in zip(borders, borders[1:])]
+        """Ids of each text. Texts are cut and their units numbered in Arrow's buffers, so that only distinct units
+        become objects; these are looked up together, and unknown ones encoded together."""
+        out = [b""] * len(texts)
+        known = [bool(text) and self.regular(text) for text in texts]
+        own = [i for i, regular in enumerate(known) if regular]
+        if own:
+            cut = pc.split_pattern(pa.array([_FIRST + texts[i].replace("\n", " \n") for i in own], pa.large_string()), " ")
+            units = cut.flatten().dictionary_encode()
+            ids = pa.array(self._look_up(units.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(units.indices)
+            _, offsets, data = ids.buffers()
+            ends = np.frombuffer(offsets, np.int64)[cut.offsets.to_numpy()].tolist()
+            for i, begin, end in zip(own, ends, ends[1:]):
+                out[i] = data[begin:end].to_pybytes() if data else b""
+        odd = [i for i, text in enumerate(texts) if text and not known[i]]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
             out[i] = ids
         return out
 
+    def _look_up(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, from the memos or made together."""
+        if len(self.memo) > CACHED_UNITS:
+            self.memo, self.older = {}, self.memo
+        found = list(map(self.memo.get, units))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        fresh = []
+        for i in gaps:
+            found[i] = self.older.get(units[i])
+            if found[i] is None:
+                fresh.append(i)
+        for i, ids in zip(fresh, self._make([units[i] for i in fresh])):
+            found[i] = ids
+        self.memo.update((units[i], found[i]) for i in gaps)
+        return found
+
 
 def encoder(path: str) -> Encoder:
     """One encoder and its memo for each worker process and tokenizer file."""

@@ -61,6 +61,22 @@ def test_token_files_match_library(odd):
     assert token_files.token_table(odd.limit(0), path).count() == 0
 
 
+def test_token_units_of_any_marks_and_each_word_once():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, enc, r, asked = Tokenizer.from_file(path), token_files.Encoder(path), random.Random(5), []
+    marks = ["%%%", "***", "$", "'", "''", "_", "!?", '"),', "'s", "'ll!", "_a", "'%"]
+    stems = ["stone", "Riverün", "été", "中文", "x", "don't", "12", "a1", "ĊĠ", "ﬁ", "e\u0301"]
+    texts = [" ".join(r.choice(stems) + r.choice([*marks, ""]) + r.choice(["", "\n" + r.choice(stems)]) for _ in range(30)) for _ in range(60)]
+    texts += [m.join(["", *stems]) for m in marks] + ["", "\n", "%", "one", "a\n\nb", "a  b", "<|endoftext|> a", "a\x85b", "a\u2028b"]
+    for some in (texts, texts[::-1], texts):
+        for text, ids in zip(some, enc.encode(some)):
+            assert np.frombuffer(ids, enc.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+    enc = token_files.Encoder(path)
+    enc._encode = lambda texts: asked.extend(texts) or [b""] * len(texts)
+    enc.encode(["a" + "".join(f" stone{m}\nriver{m}" for m in marks[:8])])
+    assert asked == []  # a word and the marks after it are never sent through the whole library
+
+
 def test_bpe_automaton_matches_library(odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, model = Tokenizer.from_file(path), bpe_automaton.Automaton(path)
