@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tabula.llm.storage import lean_memory, small_batches
+from tabula.llm.storage import small_batches, spare_memory
 from tabula.llm.units import SEPARATORS, Cache
 
 CACHED_UNITS = 150_000
@@ -193,8 +193,8 @@ def encode_digests(docs: DataFrame, tokenizer: str, keep: list[str] | None = Non
     rows = docs.select(*[f"`{c}`" for c in keep], docs["text"].alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_memory()
         model = automaton(tokenizer)
+        spare_memory()  # also of what reading the file took
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(len(keep)).to_pylist():

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabula.llm.storage import lean_memory, slices, small_batches
+from tabula.llm.storage import slices, small_batches, spare_memory
 from tabula.llm.textnum import mix, powers, unicode_words
 
 _U = np.uint64
@@ -28,6 +28,8 @@ SEED_WORDS = 3
 #: Walks, samples of each, coordinates of a sample: an alignment at the limit is missed in under one of a hundred (tested).
 WALKS, SAMPLES, COORDINATES = 12, 12, 8
 ITEM_BLOCK, ITEM_BYTES = 20_000, 16_000_000
+#: Bytes of texts that are hashed together; a longer text comes alone.
+SLICE_BYTES = 500_000
 _FILTER_BITS = 22
 # Rows embedded side by side, and symbols noted for them in one walk.
 _WALK_ROWS, _WALK_CELLS = 5_000, 1_000_000
@@ -205,9 +207,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK)
     for ids, texts in _blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            lean_memory()
+            spare_memory()
             items = Items([i or 0 for i in ids], texts)
-            for part in slices(batches, 1):
+            for part in slices(batches, 1, SLICE_BYTES):
                 doc, hits = part.column(0).to_pylist(), matches(part.column(1).to_pylist(), items)
                 if hits:
                     yield pa.RecordBatch.from_arrays([
@@ -231,9 +233,9 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -
     for ids, texts in _blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, texts=texts) -> Iterator[pa.RecordBatch]:
-            lean_memory()
+            spare_memory()
             items = Items([i or 0 for i in ids], texts)
-            for part in slices(batches, place):
+            for part in slices(batches, place, SLICE_BYTES):
                 found = {h[0] for h in matches([t or "" for t in part.column(place).to_pylist()], items)}
                 yield part.filter(pa.array([i not in found for i in range(part.num_rows)], pa.bool_()))
 

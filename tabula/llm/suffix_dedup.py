@@ -46,6 +46,10 @@ SHARD_BYTES = 13_000_000
 SORT_BYTES = 2_000_000
 #: Contexts whose bytes or windows are laid out at a time.
 BLOCK = 50_000
+#: Bytes of documents whose windows are hashed, or whose bytes are masked, at a time.
+GROUP_BYTES = 250_000
+#: Bytes of the batches in which tables of binary rows leave a worker.
+ROW_BYTES = 1_000_000
 #: Chunks that hold one anchor beyond which its contexts are split into single windows.
 HOT = 200
 _LOW = _U((1 << 40) - 1)
@@ -85,24 +89,35 @@ class _Chunk:
     """Documents of a chunk as bytes, and the anchored runs of windows that lie within one of them."""
 
     def __init__(self, table: pa.Table, width: int):
-        self.table = table
+        self.table, self.width = table, width
         self.ids = table["__id"].to_pylist()
-        texts = [(t or "").encode("utf-8", "surrogatepass") for t in table["__text"].to_pylist()]
-        self.texts, self.width = texts, width
-        self.borders = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(t) for t in texts], out=self.borders[1:])
-        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        # the texts stay in Arrow's buffer; null texts have no bytes there once they are filled
+        text = pc.fill_null(pa.concat_arrays(table["__text"].cast(pa.large_string()).chunks), "")
+        _, offsets, data = text.buffers()
+        borders = np.frombuffer(offsets, np.int64)[text.offset: text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+        self.borders = borders - borders[0]
+        self.data = np.frombuffer(data, np.uint8)[borders[0]: borders[-1]] if data else np.empty(0, np.uint8)
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def text(self, i: int) -> bytes:
+        return self.data[self.borders[i]: self.borders[i + 1]].tobytes()
+
+    def size(self, i: int) -> int:
+        return int(self.borders[i + 1] - self.borders[i])
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Document, first window, number of windows and anchor of every run; documents without an id have none."""
         starts, counts, keys, docs = [], [], [], []
         group, size = [], 0
-        for i in range(len(self.texts) + 1):
-            if i < len(self.texts):
-                if len(self.texts[i]) >= self.width and self.ids[i] is not None:
+        usable = np.asarray([x is not None for x in self.ids])
+        for i in range(len(self) + 1):
+            if i < len(self):
+                if self.size(i) >= self.width and self.ids[i] is not None:
                     group.append(i)
-                    size += len(self.texts[i])
-                if size < 1_000_000:
+                    size += self.size(i)
+                if size < GROUP_BYTES:
                     continue
             if group:
                 a, b = self.borders[group[0]], self.borders[group[-1] + 1]
@@ -118,7 +133,7 @@ class _Chunk:
                 for j in np.flatnonzero(rest):  # a run that goes on in the next documents
                     stop = first[j] + many[j]
                     d = low[j] + 1
-                    while d < len(self.texts) and self.borders[d] < stop:
+                    while d < len(self) and self.borders[d] < stop:
                         n_here = min(stop, self.borders[d + 1] - self.width + 1) - self.borders[d]
                         if n_here > 0:
                             s.append(np.asarray([self.borders[d]]))
@@ -129,19 +144,23 @@ class _Chunk:
                 order = np.argsort(s, kind="stable")
                 s, n, k = s[order], n[order], k[order]
                 d = np.searchsorted(self.borders, s, side="right") - 1
-                usable = np.asarray([x is not None for x in self.ids])[d]
-                starts.append(s[usable])
-                counts.append(n[usable])
-                keys.append(k[usable])
-                docs.append(d[usable])
+                keep = usable[d]
+                starts.append(s[keep])
+                counts.append(n[keep])
+                keys.append(k[keep])
+                docs.append(d[keep])
             group, size = [], 0
         if not starts:
             return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, _U))
-        return np.concatenate(docs), np.concatenate(starts), np.concatenate(counts), np.concatenate(keys)
+        out = []
+        for parts in (docs, starts, counts, keys):
+            out.append(np.concatenate(parts))
+            parts.clear()
+        return tuple(out)
 
 
-def _text_hash(texts: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(hashlib.md5(t).digest() for t in texts), "<u8").reshape(-1, 2)
+def _text_hash(chunk: _Chunk) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.md5(chunk.text(i)).digest() for i in range(len(chunk))), "<u8").reshape(-1, 2)
 
 
 def _split(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -203,8 +222,15 @@ _DDL = "shard long, chunk long, kind int, a binary, b binary, c binary, d binary
 
 
 def _rows(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [()] * len(_ROW)
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW)], schema=_ROW)
+    """A table of ``rows`` in chunks of bounded bytes, so that neither side of the pipe to Spark holds all of it once more."""
+    chunks, held, filled = [], [], 0
+    for at, row in enumerate(rows, 1):
+        held.append(row)
+        filled += sum(len(x) for x in row[3:] if x is not None)
+        if filled >= ROW_BYTES or at == len(rows):
+            chunks.append(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _ROW)], schema=_ROW))
+            held, filled = [], 0
+    return pa.Table.from_batches(chunks, _ROW)
 
 
 def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: int = HOT) -> DataFrame:
@@ -219,7 +245,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
     bytes stay whole. ``carry`` may name any columns of ``docs`` but those added here.
     """
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark, 500, 2 << 20)
     folder = shared_folder(spark, "suffix-chunks")
     shards = parts_for(spark, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, SHARD_BYTES)
     given = docs.select(
@@ -251,9 +277,9 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             yield from flush()
 
     def _keys(chunk: _Chunk, name: int) -> pa.Table:
-        doc, _, _, key = chunk.runs()
-        text = _text_hash(chunk.texts)
-        long_enough = np.flatnonzero([len(t) >= width and i is not None for t, i in zip(chunk.texts, chunk.ids)])
+        doc, key = chunk.runs()[::3]
+        text = _text_hash(chunk)
+        long_enough = np.flatnonzero([chunk.size(j) >= width and i is not None for j, i in enumerate(chunk.ids)])
         rows = [(-1, name, 0, None, None, None, None)]
         ids = np.asarray([i or 0 for i in chunk.ids], np.int64)
         for shard, at in _split((text[long_enough, 0] % _U(shards)).astype(np.int64)):
@@ -262,7 +288,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         # one entry for each anchor of the chunk; those of two texts in it are known to repeat already
         order, group, many = _seen_twice(key, text[doc, 0])
         starts = np.flatnonzero(np.diff(group, prepend=-1))
-        own, of = key[order][starts], doc[order][starts]
+        own, of = key[order[starts]], doc[order[starts]]
+        del order, group, key, doc
         by_doc = np.argsort(of, kind="stable")
         own, of, many = own[by_doc], of[by_doc], many[by_doc]
         for shard, at in _split(((own >> _U(40)) % _U(shards)).astype(np.int64)):
@@ -291,12 +318,14 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
             for name, at in _split(chunk[copies]):
                 found.append((0, name, 1, place[copies[at]].tobytes(), None, None, None))
         grams = [r for r in rows if r["kind"] == 2]
+        del texts
         if grams:
             sizes = [len(r["a"]) // 5 for r in grams]
             chunk = np.repeat([r["chunk"] for r in grams], sizes)
             value = np.concatenate([_unpack(r["a"]) for r in grams])
             known = np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8))[:n] for r, n in zip(grams, sizes)]).astype(bool)
             text = np.concatenate([np.repeat(np.frombuffer(r["c"], "<u8"), np.frombuffer(r["d"], "<u4")) for r in grams])
+            del rows, grams, table
             order, group, many = _seen_twice(value, text)
             starts = np.flatnonzero(np.diff(group, prepend=-1))
             if len(starts):
@@ -313,7 +342,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         spare_memory()
         name, rows = key[0].as_py(), table.to_pylist()
         chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
-        copies = np.zeros(len(chunk.texts), bool)
+        copies = np.zeros(len(chunk), bool)
         keys, heat = [np.empty(0, _U)], [np.empty(0, bool)]
         for r in rows:
             if r["kind"] == 1:
@@ -419,7 +448,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         name = key[0].as_py()
         chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
         doc, start, many, number = np.frombuffer(read_file(folder, f"runs-{name}"), "<i8").reshape(4, -1)
-        copies = np.unpackbits(np.frombuffer(read_file(folder, f"copies-{name}"), np.uint8))[: len(chunk.texts)].astype(bool)
+        copies = np.unpackbits(np.frombuffer(read_file(folder, f"copies-{name}"), np.uint8))[: len(chunk)].astype(bool)
         masks = np.zeros(int(number.max()) + 1 if len(number) else 0, np.int64)
         for r in table.to_pylist():
             if r["kind"] == 4:
@@ -429,25 +458,32 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         least = np.full(len(masks), np.iinfo(np.int64).max)
         np.minimum.at(least, number, ids[doc])
         mask = np.where(ids[doc] > least[number], (1 << many) - 1, masks[number]) if len(number) else np.empty(0, np.int64)
-        edge = np.zeros(len(chunk.data) + 1, np.int32)
-        for bit in range(int(many.max()) if len(many) else 0):
-            begin = start[(mask >> bit & 1).astype(bool)] + bit
-            np.add.at(edge, begin, 1)
-            np.add.at(edge, begin + width, -1)
-        gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
-        del edge
-        whole, absent = [], chunk.table["__text"].combine_chunks().is_null().to_pylist()
-        for i, t in enumerate(chunk.texts):
-            a, b = chunk.borders[i], chunk.borders[i + 1]
-            lost = np.ones(b - a, bool) if copies[i] else gone[a:b]
-            kept = t if not lost.any() else chunk.data[a:b][~lost].tobytes()
-            spans = int(lost[:1].sum() + (lost[1:] & ~lost[:-1]).sum())
-            whole.append((None if absent[i] else kept.decode("utf-8", "ignore"), len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+        whole, absent, low = [], pc.is_null(chunk.table["__text"]).to_pylist(), 0
+        while low < len(chunk):  # the runs ascend by place, so some documents at a time have theirs side by side
+            base = int(chunk.borders[low])
+            high = max(low + 1, int(np.searchsorted(chunk.borders, base + GROUP_BYTES, side="right")) - 1)
+            first, last = np.searchsorted(start, chunk.borders[[low, high]])
+            edge = np.zeros(int(chunk.borders[high]) - base + 1, np.int32)
+            for bit in range(int(many[first:last].max()) if last > first else 0):
+                begin = start[first:last][(mask[first:last] >> bit & 1).astype(bool)] + (bit - base)
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + width, -1)
+            gone = np.cumsum(edge[:-1]) > 0
+            for i in range(low, high):
+                a, b = chunk.borders[i], chunk.borders[i + 1]
+                lost = np.ones(b - a, bool) if copies[i] else gone[a - base: b - base]
+                kept = chunk.text(i) if not lost.any() else chunk.data[a:b][~lost].tobytes()
+                spans = int(lost[:1].sum() + (lost[1:] & ~lost[:-1]).sum())
+                whole.append((
+                    None if absent[i] else kept.decode("utf-8", "ignore"), int(b - a), int(b - a) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+            low = high
         columns = list(zip(*whole)) or [()] * 5
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        return pa.Table.from_arrays(
+        made = pa.Table.from_arrays(
             [*chunk.table.columns[: len(carry)], *[pa.array(c, k) for c, k in zip(columns, kinds)]],
             names=[*carry, "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        return pa.Table.from_batches(
+            [some for batch in made.combine_chunks().to_batches() for some in slices([batch], len(carry), ROW_BYTES)], made.schema)
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried)
     return (

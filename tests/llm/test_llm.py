@@ -3,12 +3,14 @@
 import hashlib
 import random
 import sys
+import tracemalloc
 import unicodedata
 import zlib
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -77,6 +79,28 @@ def test_token_units_of_any_marks_and_each_word_once():
     assert asked == []  # a word and the marks after it are never sent through the whole library
 
 
+def test_repeat_removal_holds_little_beside_its_chunk():
+    table = suffix_dedup._rows([(s, 0, 2, bytes([s]) * 300_000, None, None, b"x") for s in range(20)])
+    assert max(b.nbytes for b in table.to_batches()) < suffix_dedup.ROW_BYTES + 400_000
+    assert table["shard"].to_pylist() == list(range(20)) and table["a"][19].as_py() == b"\x13" * 300_000
+    assert suffix_dedup._rows([]).num_rows == 0
+
+    texts = [prose(i, 400) for i in range(1_000)] + [None, "", "ü" * 30]
+    table = pa.Table.from_batches([
+        pa.RecordBatch.from_arrays([pa.array(range(a, b), pa.int64()), pa.array(texts[a:b], pa.string())], names=["__id", "__text"]).slice(1)
+        for a, b in ((0, 500), (500, len(texts)))])
+    tracemalloc.start()
+    chunk = suffix_dedup._Chunk(table, 50)
+    doc, start, many, _ = chunk.runs()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 * len(chunk.data)
+    want = [(t or "").encode() for t in texts[1:500] + texts[501:]]
+    assert [chunk.data[a:b].tobytes() for a, b in zip(chunk.borders, chunk.borders[1:])] == want
+    assert np.bincount(doc, many, len(want)).tolist() == [max(0, len(t) - 49) for t in want]
+    assert (start >= chunk.borders[doc]).all() and (start + many + 49 <= chunk.borders[doc + 1]).all()
+
+
 def test_bpe_automaton_matches_library(odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, model = Tokenizer.from_file(path), bpe_automaton.Automaton(path)
