@@ -28,12 +28,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tabula.llm.storage import small_batches, spare_memory
+from tabula.llm.storage import MEMOS, small_batches, spare_memory
 from tabula.llm.units import SEPARATORS, Cache
 
 CACHED_UNITS = 150_000
 CACHED_ARCS = 500_000
 _AUTOMATA: dict[str, "Automaton"] = {}
+MEMOS.append(_AUTOMATA)
 # White space of the Unicode standard; fixed values.
 _SPACE = r"[\t-\r \x85\xa0  -     　]"
 
@@ -179,6 +180,7 @@ def automaton(path: str) -> Automaton:
     """One automaton for each worker process and tokenizer file."""
     if path not in _AUTOMATA:
         _AUTOMATA[path] = Automaton(path)
+    spare_memory(_AUTOMATA)  # also of what reading the file took
     return _AUTOMATA[path]
 
 
@@ -194,7 +196,6 @@ def encode_digests(docs: DataFrame, tokenizer: str, keep: list[str] | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = automaton(tokenizer)
-        spare_memory()  # also of what reading the file took
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(len(keep)).to_pylist():

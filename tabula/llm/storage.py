@@ -62,6 +62,8 @@ def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 8 << 20) -
 _MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1
 _MAPPED_BYTES = 1 << 20
 _LIBRARY: list = []
+#: Memos that operators keep in a worker from task to task; a worker outlives queries and stages.
+MEMOS: list[dict] = []
 
 
 def lean_memory() -> None:
@@ -69,10 +71,14 @@ def lean_memory() -> None:
     pa.set_memory_pool(pa.system_memory_pool())
 
 
-def spare_memory() -> None:
+def spare_memory(own: dict | None = None) -> None:
     """In a worker, where memory is shorter than time: like :func:`lean_memory`; large blocks are mapped on their own, and
-    what earlier groups or tasks of this process freed goes back to the system, if the C library has calls for it."""
+    what earlier groups or tasks of this process freed goes back to the system, if the C library has calls for it.
+    Memos of operators that ran here before go too, but for ``own``."""
     lean_memory()
+    for memo in MEMOS:
+        if memo is not own:
+            memo.clear()
     if not _LIBRARY:
         _LIBRARY.append(ctypes.CDLL(None))
         if hasattr(_LIBRARY[0], "mallopt"):

@@ -21,6 +21,7 @@ import corpus_pipeline  # noqa: E402
 from tabula.llm import (  # noqa: E402
     bpe_automaton, dart_minhash, decontaminate, html_blocks, language_codes, license_scan, multi_index, sharding, suffix_dedup, textnum, token_files)
 from tabula.llm.induced_sorting import common_prefixes, suffix_order  # noqa: E402
+from tabula.llm.storage import spare_memory  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, row long, score double, id long, kept_text string"
 WORDS = "the of and house river stone cloud tree light water wind bread table green morning letter window garden music paper".split()
@@ -101,6 +102,14 @@ def test_repeat_removal_holds_little_beside_its_chunk():
     assert (start >= chunk.borders[doc]).all() and (start + many + 49 <= chunk.borders[doc + 1]).all()
 
 
+def test_spare_memory_lets_go_of_the_memos_of_other_operators():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model = bpe_automaton.automaton(path)
+    assert bpe_automaton.automaton(path) is model
+    spare_memory()
+    assert not bpe_automaton._AUTOMATA and bpe_automaton.automaton(path) is not model
+
+
 def test_bpe_automaton_matches_library(odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, model = Tokenizer.from_file(path), bpe_automaton.Automaton(path)
