@@ -163,6 +163,19 @@ def _text_hash(chunk: _Chunk) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.md5(chunk.text(i)).digest() for i in range(len(chunk))), "<u8").reshape(-1, 2)
 
 
+def _pack_runs(start: np.ndarray, many: np.ndarray, number: np.ndarray) -> bytes:
+    """Runs in ascending order, as differences: two bytes a run instead of 32; documents follow from the borders."""
+    sink = io.BytesIO()
+    pq.write_table(
+        pa.table({"start": start, "many": many, "number": number}), sink,
+        compression="zstd", use_dictionary=False, column_encoding="DELTA_BINARY_PACKED")
+    return sink.getvalue()
+
+
+def _unpack_runs(data: bytes) -> tuple[np.ndarray, ...]:
+    return tuple(column.to_numpy() for column in pq.read_table(io.BytesIO(data)).columns)
+
+
 def _split(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
     order = np.argsort(shard, kind="stable")
     keys, starts = np.unique(shard[order], return_index=True)
@@ -373,7 +386,7 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         number = np.empty(len(doc), np.int64)
         number[order] = found
         firsts = order[np.unique(found, return_index=True)[1]]
-        save_file(folder, f"runs-{name}", np.stack([doc, start, many, number]).astype("<i8").tobytes())
+        save_file(folder, f"runs-{name}", _pack_runs(start, many, number))
         save_file(folder, f"copies-{name}", np.packbits(copies).tobytes())
         length = pc.binary_length(stretch).to_numpy()
         key_of = anchor[firsts] if len(firsts) else np.empty(0, _U)
@@ -447,7 +460,8 @@ def remove_repeats(docs: DataFrame, carry: list[str], width: int = WIDTH, hot: i
         spare_memory()
         name = key[0].as_py()
         chunk = _Chunk(pq.read_table(io.BytesIO(read_file(folder, f"chunk-{name}"))), width)
-        doc, start, many, number = np.frombuffer(read_file(folder, f"runs-{name}"), "<i8").reshape(4, -1)
+        start, many, number = _unpack_runs(read_file(folder, f"runs-{name}"))
+        doc = np.searchsorted(chunk.borders, start, side="right") - 1
         copies = np.unpackbits(np.frombuffer(read_file(folder, f"copies-{name}"), np.uint8))[: len(chunk)].astype(bool)
         masks = np.zeros(int(number.max()) + 1 if len(number) else 0, np.int64)
         for r in table.to_pylist():
