@@ -62,3 +62,44 @@ def test_missing_keys_keep_their_sums_in_slices(spark):
     whole = running_sums(cells, ["g"], "v", {"n": "upto"}, {"n": "total"})
     sliced = running_sums(cells, ["g"], "v", {"n": "upto"}, {"n": "total"}, window_rows=5)
     assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, sliced.collect()), key=repr)
+
+
+def test_large_nested_lookups_shuffle_the_rows_once(spark, no_small_sides):
+    n = F.col("id")
+    some = lambda every, value: F.when(n % every == 0, F.lit(None)).otherwise(value)
+    rows = spark.range(0, 3_000, numPartitions=4).select(
+        "id", some(11, n % 50).alias("a"), some(13, n % 4).alias("b"), some(17, n % 7).cast("string").alias("c d"), F.lit(None).cast("int").alias("e"))
+    lookups = [(groupwise.group_stats(rows, keys, {f"n{i}": F.count(F.lit(1)), f"top{i}": F.max("id")}), keys)
+               for i, keys in enumerate((["a", "b", "c d"], ["a", "b"], ["a"], ["e"]))]
+    nested = sizing.attach_all(rows, rows, lookups[:3])
+    one_by_one = rows
+    for lookup, keys in lookups[:3]:
+        one_by_one = sizing.attach(one_by_one, lookup, keys)
+    assert nested.columns == [*rows.columns, "n0", "top0", "n1", "top1", "n2", "top2"]
+    assert sorted(map(tuple, nested.collect()), key=repr) == sorted(map(tuple, one_by_one.select(nested.columns).collect()), key=repr)
+    plan = nested._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("SortMergeJoin") == 1
+    assert sizing.attach_all(rows, rows, lookups[3:]).where("n3 is not null").count() == 0
+
+
+def test_lap_statistics_of_races_are_joined_at_once(spark, no_small_sides):
+    from tabula.plans import laps
+
+    n = F.col("id")
+    rows = spark.range(600).select(
+        n.cast("string").alias("id"), F.when(n % 3 > 0, "ABC").alias("Driver"), F.concat(F.lit("race "), n % 40).alias("Race"), F.lit("SOFT").alias("Compound"),
+        (2022 + n % 2).cast("int").alias("Year"), *[(n % 9).cast("int").alias(c) for c in ("LapNumber", "Stint", "Position", "Position_Change")],
+        *[(n % 30).cast("double").alias(c) for c in ("TyreLife", laps.LAP_TIME, "Cumulative_Degradation", "RaceProgress")], F.lit(1).alias(laps.TARGET))
+    out = laps.lap_features(rows)
+    found = {r["id"]: r for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # compound, rank, driver code, and one for race, year and driver
+    assert plan.count("SortMergeJoin") == 4
+    assert len(found) == 600 and found["1"]["Race_Avg_LapTime"] is not None
+
+
+def test_laps_are_read_from_the_given_file(spark):
+    from tabula.catalog.features import laps_of
+    from tabula.catalog.registry import Tables
+
+    assert all(f.endswith("lineitem.parquet") for f in laps_of(Tables(spark, "/root/testdata/sf0.001")).inputFiles())
