@@ -225,3 +225,38 @@ def test_weighted_booster_follows_the_weights(spark):
     for weighted, wanted in ((False, 0), (True, 1)):
         fitted = models.boosted_multiclass(2, 1, 1, weighted=weighted).fit(rows)
         assert fitted.transform(rows).first()["prediction"] == wanted
+
+
+def test_laps_are_written_as_columns_not_as_vectors(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1, 2023, 2.0, None), ("b", None, None, 0.0, 3)], f"id string, {laps.TARGET} int, Year int, x double, y int")
+    written, store = [], ensemble.stored
+    monkeypatch.setattr(ensemble, "stored", lambda df, name: written.append(df.columns) or store(df, name))
+    table, names = ensemble.lap_vectors(rows)
+    assert names == ["Year", "x", "y"] and written == [["id", LABEL, "Year", "x", "y"]]
+    assert table.columns == ["id", LABEL, "features", "Year"] and models.feature_names(table) == names
+    got = {r["id"]: (r[LABEL], r["features"].toArray().tolist(), r["Year"]) for r in table.collect()}
+    assert got == {"a": (1, [2023.0, 2.0, 0.0], 2023.0), "b": (None, [0.0, 0.0, 3.0], 0.0)}
+
+
+def test_fits_on_large_tables_take_turns_and_keep_no_second_copy(spark, planted, monkeypatch):
+    import time
+
+    from pyspark import StorageLevel
+
+    running, seen = [], []
+
+    class Slow:
+        def fit(self, rows):
+            running.append(1)
+            seen.append((len(running), rows.storageLevel))
+            time.sleep(0.3)
+            running.pop()
+
+    rows = planted.where("id >= 0")
+    monkeypatch.setattr(models, "score_all", lambda *args: None)
+    assert models._vector_bytes(rows) == 600 * 2 * 8
+    for large in (1 << 30, 0):
+        monkeypatch.setattr(models, "LARGE_BYTES", large)
+        models.fit_and_score(rows, rows, {"a": Slow(), "b": Slow()}, "id")
+    assert max(n for n, _ in seen[:2]) == 2 and max(n for n, _ in seen[2:]) == 1
+    assert all(level == StorageLevel.NONE for _, level in seen)
