@@ -230,12 +230,15 @@ def test_weighted_booster_follows_the_weights(spark):
 def test_laps_are_written_as_columns_not_as_vectors(spark, monkeypatch):
     rows = spark.createDataFrame([("a", 1, 2023, 2.0, None), ("b", None, None, 0.0, 3)], f"id string, {laps.TARGET} int, Year int, x double, y int")
     written, store = [], ensemble.stored
+    small, _ = ensemble.lap_vectors(rows)
+    monkeypatch.setattr(ensemble, "LARGE_LAPS", 1)
     monkeypatch.setattr(ensemble, "stored", lambda df, name: written.append(df.columns) or store(df, name))
     table, names = ensemble.lap_vectors(rows)
     assert names == ["Year", "x", "y"] and written == [["id", LABEL, "Year", "x", "y"]]
     assert table.columns == ["id", LABEL, "features", "Year"] and models.feature_names(table) == names
     got = {r["id"]: (r[LABEL], r["features"].toArray().tolist(), r["Year"]) for r in table.collect()}
     assert got == {"a": (1, [2023.0, 2.0, 0.0], 2023.0), "b": (None, [0.0, 0.0, 3.0], 0.0)}
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, table.collect()))
 
 
 def test_fits_on_large_tables_take_turns_and_keep_no_second_copy(spark, planted, monkeypatch):
